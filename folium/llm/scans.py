@@ -30,7 +30,7 @@ from folium.session import cut
 # Shapes that scanners confuse, as printed and as read.
 SHAPES = (
     "m rn", "rn m", "d cl", "cl d", "n ri", "u ii", "e c", "t f", "h b", "q g", "a @", "i !", "o 0", "O 0", "l 1", "i 1", "I 1", "s 5", "S 5", "b 6", "z 2", "Z 2", "g 9", "B 8",
-    "á ä", "á à", "í ì", "í ï", "é è", "é ë", "ó ò", "ó ö", "ó 6", "ú ù", "ú ü", "ñ n", "ri n", "ii u", "li h", "h li", "c e", "f t", "b h", "vv w", "w vv", "l I", "I l",
+    "á ä", "á à", "í ì", "í ï", "é è", "é ë", "ó ò", "ó ö", "ó 6", "ú ù", "ú ü", "ñ n", "ri n", "ii u", "li h", "h li", "ll U", "ñ fi", "c e", "f t", "b h", "vv w", "w vv", "l I", "I l",
     "0 O", "0 o", "1 l", "1 I", "2 Z", "5 S", "8 B", "6 b", "9 g", "7 T",
 )
 #: Marks that divide a word at the end of a line, as characters of a class.
@@ -266,8 +266,8 @@ def to_roman(n: int) -> str:
 
 def line_key(s: str) -> str:
     """What header lines of one file have in common: letters only, look-alike shapes as one, without figures."""
-    t = fold(s)
-    for a, b in (("rn", "m"), ("cl", "d"), ("ri", "n"), ("ii", "u"), ("li", "h"), ("0", "o"), ("1", "l"), ("5", "s"), ("@", "a"), ("!", "l")):
+    t = regex.sub(r"(?<![\p{L}\p{N}])\p{N}+(?![\p{L}\p{N}])", " ", fold(s))
+    for a, b in (("fi", "n"), ("rn", "m"), ("cl", "d"), ("ri", "n"), ("ii", "u"), ("li", "h"), ("0", "o"), ("1", "l"), ("5", "s"), ("@", "a"), ("!", "l")):
         t = t.replace(a, b)
     t = t.translate(str.maketrans("cfbgi", "ethql"))
     return "".join(c for c in t if c.isalpha())
@@ -317,7 +317,10 @@ EDGE = "goes_on boolean, block_id long, file string, page int, page_key double,
 
 
 def edge_lines(placed: DataFrame) -> DataFrame:
-    """First and last line of every block but tables, with what tells furniture: see EDGE. place: only, first, last."""
+    """First and last line of every block but tables, with what tells furniture: see EDGE. place: only, first, last.
+
+    key is how the line begins, since running headers may end in a figure or the section's name.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -326,13 +329,23 @@ def edge_lines(placed: DataFrame) -> DataFrame:
             for k in range(b.num_rows):
                 lines = d["content"][k].split("\n")
                 real = [i for i, x in enumerate(lines) if x.strip()]
-                for i in sorted({real[0], real[-1]} if real else ()):
+                edge = set()
+                if real:
+                    # the outermost lines, and the one within where the outermost only numbers the page
+                    edge = {real[0], real[-1]}
+                    if len(real) > 1 and number_form(lines[real[0]]):
+                        edge.add(real[1])
+                    if len(real) > 1 and number_form(lines[real[-1]]):
+                        edge.add(real[-2])
+                    if len(real) > 1 and len(lines[real[0]].strip()) <= 90 and number_form(lines[real[1]]):
+                        edge.add(real[1])
+                for i in sorted(edge):
                     t = lines[i].strip()
                     if len(t) > 120:
                         continue
                     f = number_form(t)
                     nxt = lines[i + 1].lstrip()[:1] if i + 1 < len(lines) else ""
-                    out.append([nxt.islower() or nxt.isdigit() and t[-1:].islower() and not t[-1:] == ".", *[d[c][k] for c in ("block_id", "file", "page", "page_key", "role", "block_type", "top", "bottom")], i + 1, "only" if len(real) == 1 else "first" if i == real[0] else "last", t, line_key(t), f[0] if f else None, f[1] if f else None])
+                    out.append([nxt.islower() or nxt.isdigit() and t[-1:].islower() and not t[-1:] == ".", *[d[c][k] for c in ("block_id", "file", "page", "page_key", "role", "block_type", "top", "bottom")], i + 1, "only" if len(real) == 1 else "first" if i in real[:2] and i != real[-1] else "last", t, line_key(t)[:14], f[0] if f else None, f[1] if f else None])
             kinds = [pa.bool_(), pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=[x.split()[0] for x in EDGE.split(", ")])
 
@@ -343,15 +356,18 @@ def edge_lines(placed: DataFrame) -> DataFrame:
 def with_evidence(edges: DataFrame) -> DataFrame:
     """edges with same_pages (pages of the file where such a line stands at an edge) and in_step (numbered as its page)."""
     head = edges.where("length(key) >= 3 AND top <= 3 AND place <> 'last'").groupBy("file", "key").agg(F.count_distinct("page_key").alias("same_pages"))
+    pages = edges.groupBy("file").agg(F.count_distinct("page_key").alias("pages"))
     offset = (F.col("number") - F.col("page")).alias("off")
     steps = edges.where("form IS NOT NULL AND page IS NOT NULL").groupBy("file", "form", offset).agg(F.count_distinct("page_key").alias("n"))
     best = steps.groupBy("file").agg(F.max_by(F.struct("form", "off", "n"), F.struct("n", F.col("form"), -F.col("off"))).alias("best"))
-    e = edges.join(head, ["file", "key"], "left").join(best, "file", "left")
+    e = edges.join(head, ["file", "key"], "left").join(best, "file", "left").join(pages, "file", "left")
     near = F.when(F.col("page").isNotNull(), F.col("number") - F.col("page") == F.col("best.off")).otherwise(F.abs(F.col("number") - F.col("best.off") - F.col("page_key") - 0.5) <= 3)
     e = e.withColumn("in_step", F.coalesce(near & (F.col("form") == F.col("best.form")), F.lit(False)))
-    return e.withColumns({"same_pages": F.coalesce("same_pages", F.lit(0)), "steps": F.coalesce("best.n", F.lit(0))}).drop("best")
+    return e.withColumns({"same_pages": F.coalesce("same_pages", F.lit(0)), "steps": F.coalesce("best.n", F.lit(0)), "share": F.coalesce(F.coalesce("same_pages", F.lit(0)) / F.col("pages"), F.lit(0.0))}).drop("best")
 
 
+#: By how much the judge must prefer `header` for a line that only few pages of its file have.
+SURE = 10.0
 LABELS = ["text", "header", "page_number", "heading"]
 
 
@@ -367,10 +383,12 @@ def line_features(r: dict) -> list[str]:
     shape = "up" if letters and all(c.isupper() for c in letters) else "title" if t[:1].isupper() else "low" if t[:1].islower() else "sym"
     num = "none" if r["form"] is None else "step" if r["in_step"] else "off"
     size = "s" if len(t) <= 12 else "m" if len(t) <= 70 else "l"
+    share = "few" if r["share"] < 0.3 else "half" if r["share"] < 0.7 else "most"
     page1 = "p1" if (r["page"] or 2) == 1 else "p+"
     out = ["bias", f"pl{r['place']}", f"same{same}", f"top{top}", f"bot{bot}", f"end{end}", f"sh{shape}", f"num{num}", f"sz{size}", page1]
     out += [f"same{same}|top{top}|end{end}", f"num{num}|pl{r['place']}|steps{min(r['steps'], 3)}", f"num{num}|top{top}|bot{bot}", f"same{same}|pl{r['place']}|{shape}", f"sz{size}|end{end}|{shape}", f"same{same}|num{num}", f"same{same}|end{end}|sz{size}"]
-    out += [f"w{w}" for w in low.split()[:3] if not any(c.isdigit() for c in w)]
+    out += [f"share{share}|same{same}", f"share{share}|pl{r['place']}|end{end}"]
+    out += [f"w{w}" for w in map(line_key, low.split()[:3]) if w]
     if r["place"] == "first":
         out.append(f"on{r['goes_on']}")
         out.append(f"on{r['goes_on']}|{shape}|end{end}")
@@ -421,13 +439,15 @@ def furniture(evidence: DataFrame, judge: Perceptron) -> DataFrame:
                     lab = "page_number"
                 if lab == "header" and (r["same_pages"] < 2 and role != "pageHeader" and r["place"] != "only" and s["header"] - s["text"] < 1.0):
                     lab = "text"
+                if lab == "header" and r["place"] == "first" and not role and r["share"] < 0.3 and s["header"] - s["text"] < SURE:
+                    lab = "text"
                 if role == "sectionHeading":
                     lab = "heading"
                 if lab in ("header", "page_number"):
                     out.append((r["block_id"], r["line_no"], lab))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.string())], names=["block_id", "line_no", "kind"])
 
-    return evidence.select("block_id", "line_no", "goes_on", "role", "place", "text", "form", "number", "top", "bottom", "same_pages", "in_step", "steps", "page").mapInArrow(run, "block_id long, line_no int, kind string")
+    return evidence.select("block_id", "line_no", "goes_on", "role", "place", "text", "form", "number", "top", "bottom", "same_pages", "share", "in_step", "steps", "page").mapInArrow(run, "block_id long, line_no int, kind string")
 
 
 # ------------------------------------------------------------------ words
