@@ -34,7 +34,7 @@ SHAPES = (
     "0 O", "0 o", "1 l", "1 I", "2 Z", "5 S", "8 B", "6 b", "9 g", "7 T",
 )
 #: Marks that divide a word at the end of a line, as characters of a class.
-MARKS = "-­‐‑¬"
+MARKS = "-\u00ad\u2010\u2011\u00ac"
 LEAD = "\"'«“„‘([{<¿¡—–•*·~-"
 TRAIL = "\"'»”’)]}>,.;:?…—–•*·~"
 TOKEN = regex.compile(r"\S+")

@@ -47,7 +47,7 @@ GLUED = frozenset("。！？｡︒﹗﹖")
 OTHERS = frozenset("!?…‼⁇⁈⁉।॥؟۔։።፧፨᙮᠃᠉။៕៖࠰꓿꘎꘏꣎꣏꤯꧈꧉꫰꫱꯫") | GLUED
 CLOSERS = frozenset("\"'”’»›)]}」』）】》〉］｝〗〙〛›")
 OPENERS = {"“": "”", "„": "“”", "‘": "’", "«": "»", "‹": "›", "(": ")", "[": "]", "{": "}", "「": "」", "『": "』", "（": "）", "【": "】", "《": "》", "〈": "〉", "［": "］", "»": "«", "‚": "‘’"}
-BLANKS = frozenset(" \t\n\r\x0b\x0c\x85\xa0                　﻿​")
+BLANKS = frozenset(" \t\n\r\x0b\x0c\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff\u200b")
 DASHES = frozenset("-–—―·•")
 
 
