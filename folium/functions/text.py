@@ -130,3 +130,8 @@ def document_name(date: Column, number: Column, url: Column, lang: Column) -> Co
     """bopv_<date>_<number>_<lang>.json; without a number the end of the address stands for it."""
     tail = F.regexp_replace(F.right(url, F.lit(20)), r"[^\p{L}\p{N}_]", "_")
     return F.concat(F.lit("bopv_"), F.coalesce(date, F.lit("unknown-date")), F.lit("_"), F.coalesce(number, tail), F.lit("_"), lang, F.lit(".json"))
+
+
+def round4(c: Column) -> Column:
+    """Four decimals, halves up by the binary value, which is the same in every engine."""
+    return F.floor(c * 1e4 + 0.5) / 1e4

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folium.functions import lexicon as lx
-from folium.functions.text import normal_form, strip
+from folium.functions.text import normal_form, round4, strip
 
 DOMAINS = tuple(lx.DOMAIN_TERMS)
 
@@ -35,7 +35,7 @@ def score_domain(df: DataFrame, text: str, threshold: float = lx.DOMAIN_THRESHOL
     d = d.withColumns({f"_{k}": _sum(F.col("_tok"), F.col("_two"), k) for k in DOMAINS})
     total = sum((F.col(f"_{k}") for k in DOMAINS[1:]), F.col(f"_{DOMAINS[0]}"))
     zero = F.col("_short") | (total < 1e-9)
-    d = d.withColumns({f"score_{k}": F.when(zero, 0.0).otherwise(F.round(F.col(f"_{k}") / total, 4)) for k in DOMAINS})
+    d = d.withColumns({f"score_{k}": F.when(zero, 0.0).otherwise(round4(F.col(f"_{k}") / total)) for k in DOMAINS})
     best = F.greatest(*[F.col(f"score_{k}") for k in DOMAINS])
     named = F.coalesce(*[F.when(F.col(f"score_{k}") == best, k) for k in DOMAINS])
     out = d.withColumns({"confidence": best, "domain": F.when(zero | (best < threshold), "other").otherwise(named), "method": F.when(F.col("_short"), "too_short").otherwise("internal")})
@@ -58,4 +58,4 @@ def domain_distribution(paras: DataFrame, id_col: str = "pdoc_id") -> DataFrame:
     """(id_col, domain, share): the share of a document's paragraphs in each domain that occurs."""
     n = paras.groupBy(id_col, "domain").agg(F.count("*").alias("n"))
     whole = paras.groupBy(id_col).agg(F.count("*").alias("all_n"))
-    return n.join(whole, id_col).select(id_col, "domain", F.round(F.col("n") / F.col("all_n"), 4).alias("share"))
+    return n.join(whole, id_col).select(id_col, "domain", round4(F.col("n") / F.col("all_n")).alias("share"))

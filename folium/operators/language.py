@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folium.functions import lexicon as lx
-from folium.functions.text import WORD, WS, normal_form, strip
+from folium.functions.text import WORD, WS, normal_form, round4, strip
 
 _TOKEN = f"[{WORD}]"
 
@@ -57,9 +57,9 @@ def score_language(df: DataFrame, text: str, least_chars: int = lx.LEAST_CHARS)
     zero = short | none
     return d.withColumns({
         "language": F.when(zero | (best < lx.LEAST_CONFIDENCE), "unknown").when(eu > es, "eu").otherwise("es"),
-        "confidence": F.when(zero, 0.0).otherwise(F.round(best, 4)),
-        "conf_eu": F.when(zero, 0.0).otherwise(F.round(eu, 4)),
-        "conf_es": F.when(zero, 0.0).otherwise(F.round(es, 4)),
+        "confidence": F.when(zero, 0.0).otherwise(round4(best)),
+        "conf_eu": F.when(zero, 0.0).otherwise(round4(eu)),
+        "conf_es": F.when(zero, 0.0).otherwise(round4(es)),
         "method": F.when(short, "too_short").otherwise("internal"),
     }).drop("_raw", "_norm", "_low", "_tok", "_tri", "_words", "_eu", "_es", "_all")
 
@@ -76,4 +76,4 @@ def document_languages(paras: DataFrame, id_col: str = "pdoc_id") -> DataFrame:
     first = {k: F.coalesce(F.min(F.when(F.col("language") == k, F.col("index"))), F.lit(2**31 - 1)) for k in n}
     d = paras.groupBy(id_col).agg(*[n[k].alias(f"n_{k}") for k in n], *[first[k].alias(f"_{k}") for k in n], F.count("*").alias("_n"))
     best = F.greatest(*[F.struct(F.col(f"n_{k}").alias("n"), (-F.col(f"_{k}")).alias("f"), F.lit(k).alias("l")) for k in n])
-    return d.select(id_col, best.getField("l").alias("dominant_language"), F.round(F.col("n_eu") / F.col("_n"), 4).alias("eu_ratio"), "n_eu", "n_es", "n_unknown")
+    return d.select(id_col, best.getField("l").alias("dominant_language"), round4(F.col("n_eu") / F.col("_n")).alias("eu_ratio"), "n_eu", "n_es", "n_unknown")

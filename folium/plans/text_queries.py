@@ -136,7 +136,7 @@ n AS (SELECT *, {sql_normal('raw')} AS norm, lower(raw) AS low FROM r),
 t AS (SELECT *, {_TOKENS} AS tok, list_transform(range(1, greatest(length(norm) - 2, 0) + 1), lambda k: substring(norm, k, 3)) AS tri, regexp_extract_all(low, '[{tx.WORD}]+') AS w, len(list_filter(regexp_split_to_array(raw, '[{tx.WS}]+'), lambda s: s <> '')) AS words FROM n),
 s AS (SELECT pdoc_id, "index", raw, {_score(lx.EU_STOPWORDS, lx.EU_TRIGRAMS, _EU_HITS)} AS eu, {_score(lx.ES_STOPWORDS, lx.ES_TRIGRAMS, _ES_HITS)} AS es FROM t),
 c AS (SELECT *, length(raw) < {lx.LEAST_CHARS} AS short, length(raw) < {lx.LEAST_CHARS} OR eu + es < 1e-9 AS zero, eu / (eu + es) AS ce, es / (eu + es) AS cs FROM s),
-l AS (SELECT pdoc_id, CAST("index" AS INTEGER) AS "index", CASE WHEN zero OR greatest(ce, cs) < 0.52 THEN 'unknown' WHEN ce > cs THEN 'eu' ELSE 'es' END AS language, CASE WHEN zero THEN 0e0 ELSE round(greatest(ce, cs), 4) END AS confidence, CASE WHEN short THEN 'too_short' ELSE 'internal' END AS method FROM c)
+l AS (SELECT pdoc_id, CAST("index" AS INTEGER) AS "index", CASE WHEN zero OR greatest(ce, cs) < 0.52 THEN 'unknown' WHEN ce > cs THEN 'eu' ELSE 'es' END AS language, CASE WHEN zero THEN 0e0 ELSE floor(greatest(ce, cs) * 1e4 + 5e-1) / 1e4 END AS confidence, CASE WHEN short THEN 'too_short' ELSE 'internal' END AS method FROM c)
 """
 
 
@@ -155,7 +155,7 @@ t AS (SELECT *, {_TOKENS} AS tok FROM n),
 u AS (SELECT *, list_transform(range(1, greatest(len(tok) - 1, 0) + 1), lambda k: tok[k] || ' ' || tok[k + 1]) AS two FROM t),
 s AS (SELECT *, {', '.join(f'{_domain_sum(k)} AS _{k}' for k in domain.DOMAINS)} FROM u),
 z AS (SELECT *, short OR {' + '.join(f'_{k}' for k in domain.DOMAINS)} < 1e-9 AS zero FROM s),
-c AS (SELECT *, {', '.join(f"CASE WHEN zero THEN 0e0 ELSE round(_{k} / ({' + '.join(f'_{j}' for j in domain.DOMAINS)}), 4) END AS score_{k}" for k in domain.DOMAINS)} FROM z),
+c AS (SELECT *, {', '.join(f"CASE WHEN zero THEN 0e0 ELSE floor(_{k} / ({' + '.join(f'_{j}' for j in domain.DOMAINS)}) * 1e4 + 5e-1) / 1e4 END AS score_{k}" for k in domain.DOMAINS)} FROM z),
 g AS (SELECT *, greatest({', '.join(f'score_{k}' for k in domain.DOMAINS)}) AS confidence FROM c),
 f AS (SELECT *, CASE WHEN zero OR confidence < {lx.DOMAIN_THRESHOLD} THEN 'other' {' '.join(f"WHEN score_{k} = confidence THEN '{k}'" for k in domain.DOMAINS)} END AS domain FROM g)
 """
@@ -177,11 +177,11 @@ SQL = {
     "lang_paragraphs": _LANG + "SELECT * FROM l",
     "lang_documents": _LANG + """, q AS (SELECT pdoc_id, language, count(*) AS n, min("index") AS f FROM l GROUP BY ALL),
         k AS (SELECT *, row_number() OVER (PARTITION BY pdoc_id ORDER BY n DESC, f) AS r FROM q)
-        SELECT pdoc_id, max(language) FILTER (r = 1) AS dominant_language, round(CAST(coalesce(sum(n) FILTER (language = 'eu'), 0) AS DOUBLE) / sum(n), 4) AS eu_ratio,
+        SELECT pdoc_id, max(language) FILTER (r = 1) AS dominant_language, floor(CAST(coalesce(sum(n) FILTER (language = 'eu'), 0) AS DOUBLE) / sum(n) * 1e4 + 5e-1) / 1e4 AS eu_ratio,
         CAST(coalesce(sum(n) FILTER (language = 'eu'), 0) AS BIGINT) AS n_eu, CAST(coalesce(sum(n) FILTER (language = 'es'), 0) AS BIGINT) AS n_es, CAST(coalesce(sum(n) FILTER (language = 'unknown'), 0) AS BIGINT) AS n_unknown FROM k GROUP BY pdoc_id""",
     "domain_paragraphs": _DOMAIN_PARAS + f'SELECT pdoc_id, CAST("index" AS INTEGER) AS "index", domain, confidence, {_SCORES} FROM f',
     "domain_documents": _DOMAIN_DOCS + f"SELECT pdoc_id, domain, confidence, {_SCORES}, CASE WHEN short THEN 'too_short' ELSE 'internal' END AS method FROM f",
-    "domain_shares": _DOMAIN_PARAS + ", n2 AS (SELECT pdoc_id, domain, count(*) AS n FROM f GROUP BY ALL) SELECT pdoc_id, domain, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY pdoc_id), 4) AS share FROM n2",
+    "domain_shares": _DOMAIN_PARAS + ", n2 AS (SELECT pdoc_id, domain, count(*) AS n FROM f GROUP BY ALL) SELECT pdoc_id, domain, floor(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY pdoc_id) * 1e4 + 5e-1) / 1e4 AS share FROM n2",
 }
 
 
