@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from folium.plans import graph_queries, layout_queries, page_queries, queries as record_queries, text_queries
+from folium.plans import graph_queries, layout_queries, page_queries, queries as record_queries, stream_queries, text_queries
 
-MODULES = (record_queries, text_queries, layout_queries, graph_queries, page_queries)
+MODULES = (record_queries, text_queries, layout_queries, graph_queries, page_queries, stream_queries)
 
 
 def queries() -> dict:
