@@ -74,25 +74,58 @@ def judge(refs: DataFrame, events: DataFrame) -> DataFrame:
     return out.select("ref_id", "side", "key", "t", reason.alias("reason"))
 
 
+def _union(parts: tuple[DataFrame, ...]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @dataclass
 class OrphanState:
-    """What is known after some steps. refs: (ref_id, side, key, t, reason), those with a reason wait; events: the index."""
+    """What is known after some steps, in parts that are only ever added to.
+
+    refs: (ref_id, side, key, t, reason), those with a reason wait; events: the parents' index. A step writes a part
+    with what it judged and hides the rows it judged anew in older parts; after compact_every steps they are written
+    as one.
+    """
+
+    parts: tuple[DataFrame, ...] = ()
+    index: tuple[DataFrame, ...] = ()
+    compact_every: int = 8
+
+    @property
+    def refs(self) -> DataFrame:
+        return _union(self.parts)
 
-    refs: DataFrame | None = None
-    events: DataFrame | None = None
+    @property
+    def events(self) -> DataFrame:
+        return _union(self.index)
 
     def step(self, new_refs: DataFrame, new_events: DataFrame) -> OrphanState:
-        """The state after new references and parent events; both are cut from their lineage in the shared folder."""
-        events = new_events if self.events is None else self.events.unionByName(new_events)
-        if self.refs is None:
-            return OrphanState(cut(judge(new_refs, events)), cut(events))
-        news = new_events.select("key").distinct()
-        touched = self.refs.join(news, "key", "left_semi").drop("reason")
-        still = self.refs.join(news, "key", "left_anti")
-        todo = touched.select("ref_id", "side", "key", "t").unionByName(new_refs.select("ref_id", "side", "key", "t"))
-        known = events.join(todo.select("key").distinct(), "key", "left_semi")
-        judged = judge(todo, known)
-        return OrphanState(cut(still.select("ref_id", "side", "key", "t", "reason").unionByName(judged)), cut(events))
+        """The state after new references and parent events; what is new is written to the shared folder.
+
+        Of the known references those are judged again whose key has news that reach back to their time, and those
+        whose key was missing. The rest is neither moved nor written.
+        """
+        added = cut(new_events)
+        index = (*self.index, added)
+        todo, older = new_refs.select("ref_id", "side", "key", "t"), self.parts
+        if self.parts:
+            news = added.groupBy(F.col("key").alias("_k")).agg(F.min("t").alias("_from"))
+            back = (F.col("key") == F.col("_k")) & ((F.col("reason") == "missing") | F.coalesce(F.col("t") >= F.col("_from"), F.lit(True)))
+            again = cut(self.refs.join(news, back, "left_semi").select("ref_id", "side", "key", "t"))
+            ids = again.select(F.col("ref_id").alias("_r"), F.col("side").alias("_s"), F.col("t").alias("_t"), F.col("key").alias("_k")).distinct()
+            same = (F.col("ref_id") == F.col("_r")) & (F.col("side") == F.col("_s")) & (F.col("key") == F.col("_k")) & F.col("t").eqNullSafe(F.col("_t"))
+            older = tuple(p.join(ids, same, "left_anti") for p in self.parts)
+            todo = todo.unionByName(again)
+        known = _union(index)
+        if len(index) > 1:
+            known = known.join(todo.select("key").distinct(), "key", "left_semi")
+        parts = (*older, cut(judge(todo, known)))
+        if len(parts) > self.compact_every:
+            parts, index = (cut(_union(parts)),), (cut(_union(index)),)
+        return OrphanState(parts, index, self.compact_every)
 
     def pending(self) -> DataFrame:
         """(ref_id, side, key, t, reason) of the references without a parent."""

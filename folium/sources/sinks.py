@@ -32,7 +32,7 @@ def _writer(path: str, name: str, part: str, append: bool):
         last = None
         for r in rows:
             new = r[name] != last
-            with open(os.path.join(path, r[name]), "a" if append and not new else "w", encoding="utf-8") as f:
+            with open(os.path.join(path, r[name]), "a" if append and not new else "w", encoding="utf-8", newline="") as f:
                 f.write(r[part])
             last = r[name]
 

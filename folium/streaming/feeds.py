@@ -17,24 +17,32 @@ def read_feed(spark: SparkSession, path: str, schema: T.StructType, files_per_ba
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def windowed(events: DataFrame, time: str = "ts", by: str = "event_type", value: str = "value", size: str = "1 hour", late: str = "10 minutes") -> DataFrame:
+def timed(rows: DataFrame, time: str, late: str | None) -> DataFrame:
+    """A stream with a watermark on its time, which a watermark wants with a zone; a table as it is.
+
+    late None: the stream has its watermark from an earlier step, and a second one isn't allowed.
+    """
+    return rows.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late) if rows.isStreaming and late is not None else rows
+
+
+def windowed(events: DataFrame, time: str = "ts", by: str = "event_type", value: str = "value", size: str = "1 hour", late: str | None = "10 minutes") -> DataFrame:
     """(start, by, n, total): tumbling windows; events later than `late` behind the newest are dropped by the watermark.
 
     The same expression serves a stream and a table; over a table nothing is late.
     """
-    e = events.withWatermark(time, late) if events.isStreaming else events
+    e = timed(events, time, late)
     return e.groupBy(F.window(time, size).alias("w"), by).agg(F.count("*").alias("n"), F.sum(value).alias("total")).select(F.col("w.start").alias("start"), by, "n", "total")
 
 
-def sessions(events: DataFrame, time: str = "ts", by: str = "user_id", gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+def sessions(events: DataFrame, time: str = "ts", by: str = "user_id", gap: str = "30 minutes", late: str | None = "10 minutes") -> DataFrame:
     """(by, start, end, n): runs of events with no gap of that length between them."""
-    e = events.withWatermark(time, late) if events.isStreaming else events
+    e = timed(events, time, late)
     return e.groupBy(by, F.session_window(time, gap).alias("w")).agg(F.count("*").alias("n")).select(by, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
 def first_arrivals(rows: DataFrame, key: str, time: str, late: str = "1 day") -> DataFrame:
     """Each key once within the time that late rows are waited for."""
-    return rows.withWatermark(time, late).dropDuplicatesWithinWatermark([key]) if rows.isStreaming else rows.dropDuplicates([key])
+    return timed(rows, time, late).dropDuplicatesWithinWatermark([key]) if rows.isStreaming else rows.dropDuplicates([key])
 
 
 class OrphanFeed:
