@@ -5,7 +5,7 @@ trained on and scored is the sentence; a sentence's label is its document's decl
 sentences of a document are about nothing or something else, and some declared areas are wrong. But the outputs learn
 the chance of each label given the sentence, and a sentence that deals with an area has that area's label several times
 as often as one that mentions its things in passing or says nothing of it. A paragraph is about an area if one of
-its sentences reaches the threshold; a document if enough of its paragraphs are.
+its sentences is well above that area's share of all labels; a document if enough of its paragraphs are.
 
 Training is synchronous: in every round each partition sends the gradient over its rows, and the driver adds them and
 moves the parameters. Rows are a bounded sample of labelled sentences (max_rows); everything else covers all data.
@@ -28,12 +28,17 @@ from folium.session import cut, slots
 
 @dataclass
 class Params:
-    """embed (buckets, dim), out (dim, areas), bias (areas)."""
+    """embed (buckets, dim), out (dim, areas), bias (areas); base: each area's share of the labels."""
 
     areas: list[str]
     embed: np.ndarray
     out: np.ndarray
     bias: np.ndarray
+    base: np.ndarray
+
+    def thresholds(self, lift: float) -> np.ndarray:
+        """What a sentence must reach: the area's share of all labels, and `lift` of the way from there to certainty."""
+        return self.base + lift * (1 - self.base)
 
     def scores(self, bags: list[list[int]]) -> np.ndarray:
         """(len(bags), areas): the chance of each area; an empty bag gets the bias alone."""
@@ -104,13 +109,15 @@ def train(
     spark = docs.sparkSession
     rng = np.random.default_rng(seed)
     A = len(areas)
-    p = Params(areas, (rng.standard_normal((buckets, dim)) * 0.1).astype(np.float32), (rng.standard_normal((dim, A)) * 0.5).astype(np.float32), np.full(A, -2.0, dtype=np.float32))
+    p = Params(areas, (rng.standard_normal((buckets, dim)) * 0.1).astype(np.float32), (rng.standard_normal((dim, A)) * 0.5).astype(np.float32), np.full(A, -2.0, dtype=np.float32), np.zeros(A))
     parts = parts or slots(spark, 8)
     data = cut(labelled_sentences(docs, areas, buckets, max_rows, id_col, text_col, label_col).repartition(parts))
-    total = data.agg(F.sum("n")).first()[0]
+    counts = {r["label"]: r["n"] for r in data.groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    total = sum(counts.values())
     if not total:
         p.bias[:] = -9
         return p
+    p.base[:] = [counts.get(k, 0) / total for k in range(A)]
     sizes = (p.embed.size, p.out.size, p.bias.size)
     flat = np.concatenate([p.embed.ravel(), p.out.ravel(), p.bias])
     m, v = np.zeros_like(flat), np.zeros_like(flat)
@@ -148,7 +155,7 @@ def train(
     return p
 
 
-def paragraph_areas(docs: DataFrame, p: Params, *, id_col: str = "pdoc_id", text_col: str = "paragraphs", threshold: float = 0.28) -> DataFrame:
+def paragraph_areas(docs: DataFrame, p: Params, *, id_col: str = "pdoc_id", text_col: str = "paragraphs", lift: float = 0.18) -> DataFrame:
     """(id_col, para_no, domain, score): the areas that a paragraph is about; score is its best sentence's."""
     kind = docs.schema[id_col].dataType
     sent = docs.sparkSession.sparkContext.broadcast(p)
@@ -169,7 +176,7 @@ def paragraph_areas(docs: DataFrame, p: Params, *, id_col: str = "pdoc_id", text
                                 bags.append(got)
                 best: dict[tuple[int, int, int], float] = {}
                 s = par.scores(bags) if bags else np.zeros((0, len(par.areas)))
-                for i, a in zip(*np.nonzero(s >= threshold), strict=True):
+                for i, a in zip(*np.nonzero(s >= par.thresholds(lift)), strict=True):
                     key = (*at[i], int(a))
                     best[key] = max(best.get(key, 0.0), float(s[i, a]))
                 keys = list(best)
