@@ -22,20 +22,18 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def first_visits(tree: DataFrame) -> DataFrame:
-    """Tree rows with every id once, at its first visit; different paths may share an id, as ids are simplified paths.
-
-    A root that only reserves its id keeps its empty properties.
-    """
+    """Tree rows of documents that share a source, every id once: for documents delivered more than once."""
     return keep_first(tree, ["id"], ["source", "ord"])
 
 
 def nodes(tree: DataFrame) -> DataFrame:
-    return first_visits(tree).select(*BASE, "length", "props")
+    """The nodes of tree rows; ids are already unique within a document, so nothing is shuffled."""
+    return tree.select(*BASE, "length", "props")
 
 
 def edges(tree: DataFrame) -> DataFrame:
-    """An edge for each id's first visit, from the structure that holds it; none from a node to itself."""
-    f = first_visits(tree).where("parent_id IS NOT NULL AND parent_id <> id")
+    """An edge for each node, from the structure that holds it; none from a node to itself."""
+    f = tree.where("parent_id IS NOT NULL AND parent_id <> id")
     return f.select(F.col("parent_id").alias("start_id"), F.col("id").alias("end_id"), F.lit(lx.EDGE_TYPE).alias("type"), F.lit("").alias("properties"))
 
 

@@ -65,7 +65,9 @@ def _parsed(text: str | None) -> object:
 
 
 def tree_rows(docs: DataFrame, source: str = "source", text: str = "json", max_depth: int = 50, seed_root: bool = True) -> DataFrame:
-    """NODE rows of every document; ord is the order of visits within a document.
+    """NODE rows of every document, each id at its first visit; ord is the order of visits within a document.
+
+    Different paths may share an id, as ids are simplified paths; what lies below a path whose id is taken still comes.
 
     Null, unreadable and empty documents (and a top-level array without structures) give no row but the seeded root's,
     and that only if there is something. Of a key given twice the last value counts.
@@ -86,7 +88,11 @@ def tree_rows(docs: DataFrame, source: str = "source", text: str = "json", max_d
                 doc = _parsed(t)
                 if not doc or s is None:
                     continue
+                seen: set[str] = set()
                 for n, r in enumerate(walk(doc, s, max_depth, seed_root)):
+                    if r["id"] in seen:
+                        continue
+                    seen.add(r["id"])
                     rows.append((r["id"], r["parent_id"], r["label"], r["name"], s, r["type"], r["path"], r["depth"], r["length"], n, list(r["props"].items())))
                     if len(rows) >= 20_000:
                         yield pack()

@@ -156,10 +156,12 @@ def page_items(df: DataFrame, key: str = "layout_id") -> DataFrame:
 
     p = F.transform(_real(F.col("_paragraphs")), lambda x: row(last_page(x["boundingRegions"]), "paragraph", F.coalesce(_some(x["heading"]), _some(x["role"]), F.lit("")), text_of(x), first_polygon(x["boundingRegions"])))
 
-    def table(x: Column) -> Column:
-        tsv = table_tsv(full, x, trim_spans=False)
-        tsv = F.when(F.size(_real(x["cells"])) > 0, tsv).otherwise(layout_clean(tsv))
-        md = markdown_table(tsv)
+    # the tables' texts are a column of their own, since the Markdown names them several times
+    tsvs = F.transform(_real(F.col("_tables")), lambda x: F.when(F.size(_real(x["cells"])) > 0, table_tsv(full, x, trim_spans=False)).otherwise(layout_clean(span_text(full, x["spans"]))))
+    d = d.withColumn("_tsvs", tsvs).withColumn("_mds", F.transform("_tsvs", markdown_table))
+
+    def table(x: Column, i: Column) -> Column:
+        tsv, md = F.get("_tsvs", i), F.get("_mds", i)
         return row(last_page(x["boundingRegions"]), "table", F.coalesce(x["caption"], F.lit("")), F.when(md != "", md).otherwise(tsv), first_polygon(x["boundingRegions"]))
 
     t = F.transform(_real(F.col("_tables")), table)
