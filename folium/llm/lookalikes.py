@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folium.session import cut
+
 # Cyrillic, Greek and other letters that look like a Latin one, and the micro sign.
 LETTERS = {
     "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "ӏ": "l", "о": "o", "р": "p", "ѕ": "s", "у": "y", "ү": "y", "х": "x", "ԛ": "q", "ԝ": "w",
@@ -97,7 +99,7 @@ def lookalike_pairs(strings: DataFrame, id_col: str = "string_id", group_col: st
     rows = rows.where("_id IS NOT NULL AND _g IS NOT NULL AND trim(_s) <> ''")
     rows = rows.select("_id", F.xxhash64("_g", "_s").alias("_k"), "_g", "_s", "_t")
     mixed = rows.groupBy("_k", "_g", "_s").agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi")).where("_lo <> _hi").select("_k", "_g", "_s")
-    some = rows.join(mixed, ["_k", "_g", "_s"], "left_semi")
+    some = cut(rows.join(mixed, ["_k", "_g", "_s"], "left_semi"))
     classes = some.select("_k", "_g", "_s", "_t").distinct()
     a, b = classes.withColumnRenamed("_t", "_ta"), classes.withColumnRenamed("_t", "_tb")
     texts = a.join(b, ["_k", "_g", "_s"]).where("_ta <> _tb")

@@ -551,7 +551,8 @@ def find_noise(blocks: DataFrame, *, ratio: float = 10.0, least: int = 4, max_wo
     evidence = cut(with_evidence(edge_lines(placed_blocks(once))))
     lines = cut(furniture(evidence, train_line_judge(evidence, max_lines)))
     skip = lines.groupBy("block_id").agg(F.collect_set("line_no").alias("skip"))  # at most two a block
-    words = cut(block_words(once.join(skip, "block_id", "left")))
+    # read off the blocks anew wherever they are needed: cheaper than keeping a row for each word of the collection
+    words = block_words(cut(once.join(skip, "block_id", "left")))
     counts = words.where("kind <> 'hyphen'").groupBy("word").agg(F.count("*").alias("n"))
     keyed = counts.select("word", "n", F.regexp_replace(F.lower("word"), r"\p{Nd}", "9").alias("key"))
     keys = keyed.groupBy("key").agg(F.sum("n").alias("n_key"))

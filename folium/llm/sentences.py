@@ -336,7 +336,7 @@ def sentence_spans(text: str | None, lang: str | None = None, heading_chars: int
             i += 1
             continue
         a, b = lines[i]
-        fresh = not run or ended(run[-1])
+        fresh = not run or ended(run[-1]) or _thai_before(text, lines[run[-1]][0] + len(text[lines[run[-1]][0] : lines[run[-1]][1]].rstrip()))
         m = mark(i)
         if m and fresh:
             follow = mark(i + 1) if i + 1 < n and not blank[i + 1] else None
@@ -346,7 +346,7 @@ def sentence_spans(text: str | None, lang: str | None = None, heading_chars: int
                 ok = same and m[2] == before[2] + 1 or next_same and follow[2] == m[2] + 1 or m[2] == 1
                 ok = ok and text[a:b].strip() != "" and not _heading_number(text[a:b])
             elif m[0] == "let":
-                ok = m[1] == ")" or same or next_same
+                ok = m[1] == ")" or same and m[2] == before[2] + 1 or next_same and follow[2] == m[2] + 1
             else:
                 ok = True
             if ok:
