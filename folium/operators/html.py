@@ -154,7 +154,7 @@ def documents(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     seen = first(F.filter(F.transform("times", lambda x: F.regexp_extract(x, r"\b(\d{1,2})[/\-.](\d{1,2})[/\-.](\d{4})\b", 0)), lambda x: x != ""))
     parts = F.split(seen, r"[/\-.]")
     text_date = F.concat_ws("-", F.get(parts, F.lit(2)), F.lpad(F.get(parts, F.lit(1)), 2, "0"), F.lpad(F.get(parts, F.lit(0)), 2, "0"))
-    date = F.coalesce(meta, F.when(in_url != "", F.replace(F.trim(F.lit("/"), in_url), F.lit("/"), F.lit("-"))), F.when(seen.isNotNull(), text_date))
+    date = F.coalesce(meta, F.when(in_url != "", F.replace(F.trim(in_url, F.lit("/")), F.lit("/"), F.lit("-"))), F.when(seen.isNotNull(), text_date))
     number_url = F.regexp_extract(u, r"/(\d{8})\.s?html?", 1)
     number_text = first(F.filter(F.transform("numbers", lambda x: F.regexp_extract(x, r"(?i)n[uú]m(?:ero)?[.\s]*:?\s*(\d+)", 1)), lambda x: x != ""))
     number = F.coalesce(F.when(number_url != "", number_url), number_text)
