@@ -510,7 +510,7 @@ def proposals(types: DataFrame, editor: Editor, most: int = 48) -> DataFrame:
                     continue
                 got = e.proposals(word)
                 first = word[0]
-                more = [(x[0].upper() + x[1:], y, z) for x, y, z in got if x[0] != first and x[0].islower() and not first.isupper() and len(x) > 1]
+                more = [(x[0].upper() + x[1:], y, z) for x, y, z in got if x[0].islower() and not first.isalpha() and len(x) > 1]  # a figure or sign has no case
                 for x, y, z in sorted(got + more, key=lambda x: x[2])[: most * 2]:
                     d.append(z)
                     w.append(word)

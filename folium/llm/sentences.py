@@ -287,9 +287,9 @@ def sentence_spans(text: str | None, lang: str | None = None, heading_chars: int
     n = len(lines)
 
     def add(a: int, b: int) -> None:
-        while a < b and (text[a] in BLANKS or text[a].isspace()):
+        while a < b and text[a].isspace():
             a += 1
-        while b > a and (text[b - 1] in BLANKS or text[b - 1].isspace()):
+        while b > a and text[b - 1].isspace():
             b -= 1
         if a < b:
             spans.append((a, b))
