@@ -175,25 +175,27 @@ def key_types(docs: DataFrame, source: str = "source", text: str = "json") -> Da
     return got.join(objects, "holder", "left").join(values, "json_path").select("json_path", "type", "documents", F.coalesce(F.col("n") == F.col("objects"), F.lit(False)).alias("required"))
 
 
-def clean_json(docs: DataFrame, source: str = "source", text: str = "json", keys: tuple[str, ...] | None = None) -> DataFrame:
+def clean_json(docs: DataFrame, source: str = "source", text: str = "json", keys: tuple[str, ...] | None = None, replace: dict[str, str] | None = None, keep_controls: tuple[str, ...] = ()) -> DataFrame:
     """(source, json, strings_total, strings_changed, chars_removed, chars_mapped): documents with their strings cleaned.
 
     Keys are never cleaned. With keys, only strings directly under one of them are, so none within a list; objects
-    below are visited all the same. Unreadable documents give null and zero counts.
+    below are visited all the same. Unreadable documents give null and zero counts. replace adds single characters to
+    map (longer ones never match), keep_controls control characters to keep.
     """
     import re
     import unicodedata
 
     from folium.functions import lexicon as lx
 
-    glyphs = str.maketrans({**dict.fromkeys(lx.TO_BLANK, " "), **dict.fromkeys(lx.TO_NOTHING, ""), **lx.QUOTES, lx.ELLIPSIS: "..."})
+    glyphs = str.maketrans({**dict.fromkeys(lx.TO_BLANK, " "), **dict.fromkeys(lx.TO_NOTHING, ""), **lx.QUOTES, lx.ELLIPSIS: "...", **{k: v for k, v in (replace or {}).items() if len(k) == 1}})
+    controls = frozenset("\n\t").union(keep_controls)
     blanks, runs = re.compile("[ \t\u00a0\u2000-\u200b\u202f\u2060\ufeff]+"), re.compile(" {2,}")
 
     def one(s: str) -> tuple[str, int, int]:
         x = unicodedata.normalize("NFC", s)
         mapped = sum(ord(c) in glyphs for c in x)
         x = x.translate(glyphs)
-        kept = "".join(c for c in x if c in "\n\t" or unicodedata.category(c) not in ("Cc", "Cs", "Cn", "Co"))
+        kept = "".join(c for c in x if c in controls or unicodedata.category(c) not in ("Cc", "Cs", "Cn", "Co"))
         return runs.sub(" ", blanks.sub(" ", kept)), len(x) - len(kept), mapped
 
     def visit(v: object, n: list[int], take: bool) -> object:
