@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -109,6 +111,31 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in every}
 
 
+def _canonical_sql(x: str) -> str:
+    """The canonical form in SQL: its characters' forms, taken one by one from the same table, composed again."""
+    one, to, gone, several = [], [], [], []
+    for cp in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= cp <= 0xDFFF or 0xE000 <= cp <= 0xF8FF or 0xF0000 <= cp:
+            continue
+        c = chr(cp)
+        k = unicodedata.normalize("NFC", lookalikes.skeleton(c))
+        if k != unicodedata.normalize("NFC", c):
+            if len(k) == 1:
+                one.append(c)
+                to.append(k)
+            else:
+                (several if k else gone).append((c, k))
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    x = f"nfc_normalize({x})"
+    for c, k in several:
+        x = f"replace({x}, {q(c)}, {q(k)})"
+    return f"nfc_normalize(translate({x}, {q(''.join([chr(9), chr(11), chr(12), *one, *(c for c, _ in gone)]))}, {q('   ' + ''.join(to))}))"
+
+
 def oracle_sql() -> dict[str, str]:
-    """None: these depend on trained models, a vocabulary, or character tables that SQL lacks; tests/llm checks them."""
-    return {}
+    """SQL for look-alikes; the others depend on trained models, a vocabulary or rules that SQL lacks, and tests/llm checks them."""
+    s = f"WITH s AS (SELECT string_id, file_in, content, {_canonical_sql('content')} AS canonical FROM json_strings) "
+    return {
+        "p5_canonical": s + "SELECT string_id, canonical, coalesce(canonical <> content, false) AS changed FROM s",
+        "p5_found": s + "SELECT DISTINCT a.string_id AS string_id_a, b.string_id AS string_id_b FROM s a JOIN s b ON a.file_in = b.file_in AND a.canonical = b.canonical AND a.content <> b.content AND a.string_id < b.string_id WHERE trim(a.canonical) <> ''",
+    }
