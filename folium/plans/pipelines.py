@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from folium.functions import lexicon as lx
 from folium.operators import domain, graph, html, jsontree, language, layout, resolve
+from folium.session import cut
 from folium.sources import readers, sinks
 
 _SPANS = "array<struct<offset:int,length:int>>"
@@ -65,7 +66,7 @@ def pages_text(spark: SparkSession, path: str, out: str) -> None:
 
 def tree_graph(spark: SparkSession, path: str, out: str, max_depth: int = 50) -> bool:
     """JSON documents to node and edge tables with metadata."""
-    tree = jsontree.tree_rows(readers.usable(readers.read_json_texts(spark, path)), max_depth=max_depth)
+    tree = cut(jsontree.tree_rows(readers.usable(readers.read_json_texts(spark, path)), max_depth=max_depth))  # read several times below
     return sinks.write_graph(graph.nodes(tree), graph.edges(tree), out)
 
 
