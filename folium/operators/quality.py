@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -48,10 +48,10 @@ def deviation(expected: DataFrame, actual: DataFrame, keys: list[str], threshold
 
 
 def shares(df: DataFrame, by: str) -> DataFrame:
-    """(by, n, percent): each value's part of all rows. The window is over one row a value."""
+    """(by, n, percent): each value's part of all rows. The total is one row, counted apart."""
     n = df.groupBy(by).agg(F.count("*").alias("n"))
-    whole = Window.partitionBy(F.lit(1))
-    return n.select(by, "n", F.round(F.col("n") * 100.0 / F.sum("n").over(whole), 4).alias("percent"))
+    whole = df.agg(F.count("*").alias("_all"))
+    return n.crossJoin(F.broadcast(whole)).select(by, "n", F.round(F.col("n") * 100.0 / F.col("_all"), 4).alias("percent"))
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
