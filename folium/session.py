@@ -45,3 +45,19 @@ def cut(df: DataFrame) -> DataFrame:
 def slots(spark: SparkSession, most: int = 64) -> int:
     """Tasks that run at once, between 1 and most."""
     return max(1, min(most, spark.sparkContext.defaultParallelism))
+
+
+def lowest(df: DataFrame, h: str, most: int, n: int | None = None) -> DataFrame:
+    """The rows of the `most` lowest values of h, a 64-bit hash: a bounded sample that doesn't depend on how df is divided.
+
+    Where df is larger, values that can't be among the lowest are filtered out first, by its size n, so that only about
+    as many rows as wanted are ever sorted.
+    """
+    from pyspark.sql import functions as F
+
+    n = df.count() if n is None else n
+    if n > most:
+        top = min(1.0, 1.2 * most / n + 50 / n)
+        if top < 1:
+            df = df.where(F.col(h) < F.lit(int(-(2**63) + top * (2**64 - 1))))
+    return df.orderBy(h).limit(most)

@@ -58,3 +58,12 @@ def test_number_rows(spark):
     assert [r["k"] for r in got] == list(range(1, 501))
     assert [(r["x"], r["id"]) for r in got] == sorted((r["x"], r["id"]) for r in got)
     assert number_rows(d.limit(0), "x", "id").isEmpty()
+
+
+def test_lowest_is_a_fixed_sample(spark):
+    from folium.session import lowest
+
+    d = spark.range(20_000).withColumn("h", F.xxhash64("id"))
+    want = [r["h"] for r in d.orderBy("h").limit(100).collect()]
+    assert [r["h"] for r in lowest(d.repartition(7), "h", 100).collect()] == want
+    assert lowest(d.limit(50), "h", 100).count() == 50 and lowest(d.limit(0), "h", 5).isEmpty()
