@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folium.llm.features import fold, segments, words
-from folium.session import cut
+from folium.session import cut, lowest
 
 LANGUAGES = ("es", "eu", "en", "fr")
 # Names and codes of the languages, without case and region.
@@ -129,9 +129,10 @@ class TextModel:
 def fit_text_model(docs: DataFrame, id_col: str = "pdoc_id", text_col: str = "paragraphs", lang_col: str = "language", per_language: int = 1500) -> TextModel:
     """Trained on at most per_language records of each declared language, those of lowest hash."""
     rows = docs.select(F.xxhash64(F.col(id_col)).alias("h"), declared_language(F.col(lang_col)).alias("l"), F.col(text_col).alias("p")).where(F.col("l").isin(*LANGUAGES))
+    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count("*").alias("n")).collect()}
     got = []
     for lang in LANGUAGES:  # a bounded number of records each
-        got += [(lang, p) for _, p in rows.where(F.col("l") == lang).orderBy("h").limit(per_language).select("l", "p").collect()]
+        got += [(lang, r["p"]) for r in lowest(rows.where(F.col("l") == lang), "h", per_language, sizes.get(lang, 0)).select("p").collect()]
     first, pieces = [], []
     for lang, ps in got:
         w = np.array([float(lang == x) for x in LANGUAGES])

@@ -8,7 +8,7 @@ as often as one that mentions its things in passing or says nothing of it. A par
 its sentences is well above that area's share of all labels; a document if enough of its paragraphs are.
 
 Training is synchronous: in every round each partition sends the gradient over its rows, and the driver adds them and
-moves the parameters. Rows are a bounded sample of labelled sentences (max_rows); everything else covers all data.
+moves the parameters. Rows are a bounded sample of labelled sentences (max_rows, of max_docs documents); everything else covers all data.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folium.llm.features import bag, fold, segments
-from folium.session import cut, slots
+from folium.session import cut, lowest, slots
 
 
 @dataclass
@@ -69,11 +69,11 @@ def gradient(embed: np.ndarray, out: np.ndarray, bias: np.ndarray, offsets: np.n
     return np.concatenate([ge.ravel(), (h.T @ d).ravel(), d.sum(axis=0)]).astype(np.float32)
 
 
-def labelled_sentences(docs: DataFrame, areas: list[str], buckets: int, max_rows: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
+def labelled_sentences(docs: DataFrame, areas: list[str], buckets: int, max_rows: int, max_docs: int, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """(bag array<int>, label int, n): a bounded sample of sentences by declared area; label -1 is none of the areas.
 
-    Equal sentences (figures aside) with equal labels are one row with their number. The sample is the rows of lowest
-    hash, so it is the same however the input is divided.
+    Equal sentences (figures aside) with equal labels are one row with their number. The sample is the sentences of
+    lowest hash of the max_docs labelled documents of lowest hash, so it is the same however the input is divided.
     """
     known = {a.strip().lower(): k for k, a in enumerate(areas)}
 
@@ -89,7 +89,8 @@ def labelled_sentences(docs: DataFrame, areas: list[str], buckets: int, max_rows
                         labels.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(labels, pa.int32())], names=["t", "label"])
 
-    rows = docs.select(text_col, F.col(label_col).cast("string")).where(F.trim(F.col(label_col)) != "").mapInArrow(run, "t string, label int")
+    labelled = docs.select(text_col, F.col(label_col).cast("string").alias("_l"), F.xxhash64(id_col).alias("_h")).where(F.trim("_l") != "")
+    rows = lowest(labelled, "_h", max_docs).select(text_col, "_l").mapInArrow(run, "t string, label int")
     # a label's share of a sentence's rows is what is learned, so the sample is of sentences, whole with all their labels
     counts = rows.groupBy(F.xxhash64("t").alias("h"), "label").agg(F.first("t").alias("t"), F.count("*").alias("n"))
     picked = counts.orderBy("h", "label").limit(max_rows)
@@ -103,7 +104,7 @@ def labelled_sentences(docs: DataFrame, areas: list[str], buckets: int, max_rows
 
 def train(
     docs: DataFrame, areas: list[str], *, id_col: str = "pdoc_id", text_col: str = "paragraphs", label_col: str = "domain",
-    buckets: int = 1 << 15, dim: int = 12, rounds: int = 40, rate: float = 0.08, decay: float = 0.04, floor: float = 1e-5, max_rows: int = 150_000, parts: int | None = None, seed: int = 7,
+    buckets: int = 1 << 15, dim: int = 12, rounds: int = 40, rate: float = 0.08, decay: float = 0.04, floor: float = 1e-5, max_rows: int = 150_000, max_docs: int = 50_000, parts: int | None = None, seed: int = 7,
 ) -> Params:
     """Parameters after so many synchronous rounds of Adam over the sample. No labelled row: everything scores near 0."""
     spark = docs.sparkSession
@@ -111,7 +112,7 @@ def train(
     A = len(areas)
     p = Params(areas, (rng.standard_normal((buckets, dim)) * 0.1).astype(np.float32), (rng.standard_normal((dim, A)) * 0.5).astype(np.float32), np.full(A, -2.0, dtype=np.float32), np.zeros(A))
     parts = parts or slots(spark, 8)
-    data = cut(labelled_sentences(docs, areas, buckets, max_rows, id_col, text_col, label_col).repartition(parts))
+    data = cut(labelled_sentences(docs, areas, buckets, max_rows, max_docs, id_col, text_col, label_col).repartition(parts))
     counts = {r["label"]: r["n"] for r in data.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     total = sum(counts.values())
     if not total:
