@@ -25,6 +25,8 @@ def parser() -> argparse.ArgumentParser:
     command("markdown", "block table to a Markdown file a document", inp, out)
     command("chunks", "block table to a Markdown file a block", inp, out, (("--prefix",), {"default": ""}))
     command("pages-text", "layout JSON to the text of each page", inp, out)
+    command("pdf", "layout JSON to text PDFs", inp, out, (("--fontsize",), {"type": float, "default": 10}), (("--margin",), {"type": float, "default": 50}), (("--pagesize",), {"default": "A4"}))
+    command("fetch", "bulletins that index pages link to", (("--url",), {"nargs": "+", "required": True}), out, (("--languages",), {"nargs": "+", "default": ["es", "eu"]}), (("--max-docs",), {"type": int}), (("--rate-limit",), {"type": float, "default": 1.5}))
     command("graph", "JSON documents to node and edge tables", inp, out, (("--max-depth",), {"type": int, "default": 50}))
     command("consolidate", "node tables to one", inp, out)
     command("schema", "types and relations of JSON documents", inp, out)
@@ -58,6 +60,10 @@ def main(argv: list[str] | None = None) -> int:
         run.chunks(spark, a.path, a.out, a.prefix)
     elif c == "pages-text":
         run.pages_text(spark, a.path, a.out)
+    elif c == "pdf":
+        run.text_pdfs(spark, a.path, a.out, size=a.fontsize, margin=a.margin, sheet=a.pagesize)
+    elif c == "fetch":
+        run.year(spark, a.url, a.languages, a.out, a.max_docs, a.rate_limit)
     elif c == "graph":
         return 0 if run.tree_graph(spark, a.path, a.out, a.max_depth) else 1
     elif c == "schema":

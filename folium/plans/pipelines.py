@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from folium.functions import lexicon as lx
 from folium.operators import domain, graph, html, jsontree, language, layout, resolve
 from folium.session import cut
-from folium.sources import readers, sinks
+from folium.sources import pdf, readers, sinks, web
 
 _SPANS = "array<struct<offset:int,length:int>>"
 _REGIONS = "array<struct<pageNumber:int,polygon:array<double>>>"
@@ -64,6 +64,17 @@ def pages_text(spark: SparkSession, path: str, out: str) -> None:
     layout.pages_text(d).write.mode("overwrite").json(out)
 
 
+def text_pdfs(spark: SparkSession, path: str, out: str, *, size: float = 10, margin: float = 50, sheet: str = "A4") -> None:
+    """A text PDF for each layout record."""
+    d = readers.read_layout(spark, path, layout_schema(spark)).withColumn("layout_id", F.regexp_replace("file", r"(?<=.)\.[^.]*$", ""))
+    pdf.write_pdfs(layout.pages_text(d), out, size=size, margin=margin, sheet=sheet)
+
+
+def year(spark: SparkSession, index_urls: list[str], languages: list[str], out: str, max_docs: int | None = None, pause: float = web.PAUSE) -> None:
+    """All bulletins that index pages link to, fetched and read, by language."""
+    sinks.write_documents(web.year_documents(spark, index_urls, languages, max_docs, pause=pause), out)
+
+
 def tree_graph(spark: SparkSession, path: str, out: str, max_depth: int = 50) -> bool:
     """JSON documents to node and edge tables with metadata."""
     tree = cut(jsontree.tree_rows(readers.usable(readers.read_json_texts(spark, path)), max_depth=max_depth))  # read several times below

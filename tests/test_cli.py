@@ -46,6 +46,8 @@ def test_layout_to_exports(spark, tmp_path, capsys):
         (src / f"d{i}.json").write_text(r)
     run("blocks", "--in", src, "--out", tmp_path / "b")
     run("pages-text", "--in", src, "--out", tmp_path / "pt")
+    run("pdf", "--in", src, "--out", tmp_path / "pdf", "--pagesize", "LETTER")
+    assert any(p.suffix == ".pdf" for p in (tmp_path / "pdf").iterdir())
     run("search", "--in", tmp_path / "b", "--out", tmp_path / "s")
     run("chunks", "--in", tmp_path / "b", "--out", tmp_path / "c", "--prefix", "p-")
     run("markdown", "--in", tmp_path / "b", "--out", tmp_path / "m")
