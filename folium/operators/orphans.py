@@ -59,7 +59,6 @@ def judge(refs: DataFrame, events: DataFrame) -> DataFrame:
     day = F.to_date("t")
     ref = F.lit(None).cast("long")
     e = events.select("key", "t", "came", "here", F.lit(0).alias("is_ref"), ref.alias("ref_id"), F.lit(None).cast("string").alias("side"))
-    # only keys that are referred to, and no shuffle of the references yet
     r = refs.select("key", "t", F.lit(0).alias("came"), F.lit(0).alias("here"), F.lit(1).alias("is_ref"), F.col("ref_id"), "side")
     e = e.withColumn("ref_id", F.col("ref_id").cast(refs.schema["ref_id"].dataType))
     both = e.unionByName(r).withColumn("day", day)
