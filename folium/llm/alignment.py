@@ -11,7 +11,7 @@ Figures and names translate to themselves. Where both sentences hold one that th
 other; a figure that only one of them holds is an addition.
 
 The table is trained on a bounded number of page pairs (max_train) and holds pairs of at least `least` weight; all
-page pairs are decoded, each within one row that holds no more than its two pages.
+page pairs are decoded, each within one row that holds no more than its two pages; long ones with their scores in tiles.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ CLASH = 40.0
 LONE = 15.0
 #: A clause that lacks its counterpart at least so often may come and go.
 LOOSE = 0.04
+#: Pages of more sentences are scored in tiles.
+LONG = 1000
 
 
 def clauses(text: str, names: frozenset[str] | set[str] = frozenset()) -> list[list[str]]:
@@ -121,8 +123,10 @@ class Scores:
 class Pages:
     """Two pages as word matrices."""
 
-    def __init__(self, es: list[str], eu: list[str], m: Model):
-        names = page_names(es) | page_names(eu)
+    def __init__(self, es: list[str], eu: list[str], m: Model, place: tuple[int, int, int, int] | None = None, names: set[str] | None = None):
+        """place: where es and eu begin in their pages and how long those are, if they are parts of them."""
+        self.place = place or (0, len(es), 0, len(eu))
+        names = page_names(es) | page_names(eu) if names is None else names
         self.CS, self.CE, self.m = [clauses(t, names) for t in es], [clauses(t, names) for t in eu], m
         self.S, self.E = [[w for c in x for w in c] for x in self.CS], [[w for c in x for w in c] for x in self.CE]
         self.sv = {w: k for k, w in enumerate(dict.fromkeys(w for s in self.S for w in s))}
@@ -191,7 +195,8 @@ class Pages:
             pre_s = [{w[:5] for w in s if len(w) > 4} for s in self.S]
             pre_e = [{w[:5] for w in s if len(w) > 4} for s in self.E]
             cog = np.array([[len(x & y) for y in pre_e] for x in pre_s], dtype=float).reshape(I, J)
-            pos = np.abs((np.arange(I)[:, None] + 0.5) / max(I, 1) - (np.arange(J)[None, :] + 0.5) / max(J, 1))
+            i0, n_i, j0, n_j = self.place
+            pos = np.abs((i0 + np.arange(I)[:, None] + 0.5) / max(n_i, 1) - (j0 + np.arange(J)[None, :] + 0.5) / max(n_j, 1))
             return 4 * both + 2 * cog - 6 * clash - 6 * pos - 1.5
         f, b, null = self.tables()
         n_s, n_e = np.maximum(self.M_s.sum(1), 1), np.maximum(self.M_e.sum(1), 1)
@@ -282,10 +287,21 @@ class Pages:
             state = int(back[j, state])
         return out[::-1]
 
+    def hit(self, i: int, j: int) -> float:
+        """The share of words explained, on the side where it's larger; after decoding by a trained model."""
+        return max(self.hit_e[i, j], self.hit_s[i, j])
+
+    def gain_e(self, src: list[int], j: int) -> tuple[np.ndarray, dict[str, int]]:
+        """What sentences src of the source say for each word of the target, and the words' numbers."""
+        return self.lr_e[src].max(0), self.ev
+
+    def gain_s(self, i: int, js: list[int]) -> tuple[np.ndarray, dict[str, int]]:
+        return self.lr_s[js].max(0), self.sv
+
     def counts(self, pairs: list[tuple[int, int, float]]) -> Counter:
         """Expected counts: words of aligned sentences by the current table, words of the pages, jumps."""
         out: Counter = Counter()
-        for s in self.S:
+        for s in self.S if self.place[2] == 0 else ():  # the source stands beside each window of the target, and counts once
             for w in s:
                 out["R", "#" if w[0] == "#" else "@" if w[0] == "@" else w, ""] += 1
         for s in self.E:
@@ -317,12 +333,12 @@ class Pages:
                     out["L", NULL, e] += 1 / (len(plain) + 1)
         if self.m.trained:
             for j, src in by.items():
-                self._matches(out, self.CE[j], [w for i in src for w in self.S[i]], self.lr_e[src].max(0), self.ev, "e")
+                self._matches(out, self.CE[j], [w for i in src for w in self.S[i]], *self.gain_e(src, j), "e")
             tgt: dict[int, list[int]] = defaultdict(list)
             for i, j, _ in pairs:
                 tgt[i].append(j)
             for i, js in tgt.items():
-                self._matches(out, self.CS[i], [w for j in js for w in self.E[j]], self.lr_s[js].max(0), self.sv, "s")
+                self._matches(out, self.CS[i], [w for j in js for w in self.E[j]], *self.gain_s(i, js), "s")
         last = None
         for j in sorted(by):
             a, b = min(by[j]), max(by[j])
@@ -346,15 +362,115 @@ class Pages:
             out["C", pattern(c), "0" if lost else "1"] += 1
 
 
+class LongPages(Pages):
+    """Pages of any length, with the same result: scores are taken in tiles, and only states that can still win are kept.
+
+    A state can still win if it's no further behind the best one than the jumps can differ. Memory is that of one strip
+    of scores (all states, some targets), and of the few kept states of each target.
+    """
+
+    def __init__(self, es: list[str], eu: list[str], m: Model, place: tuple[int, int, int, int] | None = None, tile: int = 500, cells: int = 12_000_000):
+        self.es, self.eu, self.m, self.place, self.tile, self.cells = es, eu, m, place or (0, len(es), 0, len(eu)), tile, cells
+        self.names = page_names(es) | page_names(eu)
+        self.CS, self.CE = [clauses(t, self.names) for t in es], [clauses(t, self.names) for t in eu]
+        self.S, self.E = [[w for c in x for w in c] for x in self.CS], [[w for c in x for w in c] for x in self.CE]
+
+    def _part(self, src: list[int], js: list[int]) -> Pages:
+        p = Pages([self.es[i] for i in src], [self.eu[j] for j in js], self.m, names=self.names)
+        p.scores()
+        return p
+
+    def hit(self, i: int, j: int) -> float:
+        return self._part([i], [j]).hit(0, 0)
+
+    def gain_e(self, src: list[int], j: int) -> tuple[np.ndarray, dict[str, int]]:
+        p = self._part(src, [j])
+        return p.gain_e(list(range(len(src))), 0)
+
+    def gain_s(self, i: int, js: list[int]) -> tuple[np.ndarray, dict[str, int]]:
+        p = self._part([i], js)
+        return p.gain_s(0, list(range(len(js))))
+
+    def strip(self, j0: int, j1: int) -> np.ndarray:
+        """Scores of all states for targets j0 to j1. Tiles share a sentence, for the span over their border."""
+        I = len(self.es)
+        out = np.empty((max(2 * I - 1, 1), j1 - j0))
+        for i0 in range(0, max(I - 1, 1), self.tile):
+            i1 = min(i0 + self.tile + 1, I)
+            place = (self.place[0] + i0, self.place[1], self.place[2] + j0, self.place[3])
+            sc = Pages(self.es[i0:i1], self.eu[j0:j1], self.m, place, self.names).emissions()
+            out[i0:i1] = sc.emit[: sc.n_single]
+            out[I + i0 : I + i1 - 1] = sc.emit[sc.n_single :]
+        return out
+
+    def decode(self, null_per_word: float = 1.2) -> list[tuple[int, int, float]]:
+        I, J = len(self.S), len(self.E)
+        if not I or not J:
+            return []
+        S = max(2 * I - 1, 1)
+        n_e = np.maximum([len(x) for x in self.E], 1)
+        null = null_per_word * n_e if self.m.trained else np.zeros(J)
+        first, last = np.r_[np.arange(I), np.arange(S - I)], np.r_[np.arange(I), np.arange(1, S - I + 1)]
+        jump = self.m.jump if self.m.jump is not None else default_jumps()
+        start = np.log(0.5) * np.minimum(first, 6)
+        apart = np.max([*jump, 0.0]) - np.min([*(jump + 4 * np.log(0.5)), 6 * np.log(0.5)]) + 1e-6
+        strip = max(1, min(self.tile, self.cells // S))
+        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # states (as in Pages), whence, scores where they emit
+        score = np.empty(0)
+        for j in range(J):
+            if j % strip == 0:
+                emit = self.strip(j, min(j + strip, J))
+            e = emit[:, j % strip]
+            if not j:
+                state, whence = np.r_[np.arange(S), 2 * S], np.full(S + 1, -1)
+                score = np.r_[start + e, null[0] - 1.5]
+            else:
+                old = kept[-1][0]
+                at = {int(s): k for k, s in enumerate(old)}
+                real = old[old < 2 * S] % S
+                places = np.unique(real)
+                here = np.array([score[at[s]] if s in at else -np.inf for s in places.tolist()])
+                gone = np.array([score[at[s + S]] if s + S in at else -np.inf for s in places.tolist()])
+                prev, who = np.maximum(here, gone), np.where(here >= gone, places, places + S)
+                v, k = np.full(S, -np.inf), np.full(S, 2 * S)
+                for a in range(len(places)):
+                    d = first - last[places[a]]
+                    t = prev[a] + jump[np.clip(d, -JUMPS, JUMPS) + JUMPS] + np.log(0.5) * np.minimum(np.maximum(np.abs(d) - JUMPS, 0), 4)
+                    more = t > v
+                    v[more], k[more] = t[more], who[a]
+                none = score[at[2 * S]] if 2 * S in at else -np.inf
+                use0 = none + start > v
+                v, k = np.where(use0, none + start, v), np.where(use0, 2 * S, k)
+                state, whence = np.r_[np.arange(S), places + S, 2 * S], np.r_[k, who, 2 * S]
+                score = np.r_[v + e, prev + null[j] - 1.5, none + null[j] - 1.5]
+            keep = score >= score.max() - apart
+            state, whence, score = state[keep], whence[keep], score[keep]
+            kept.append((state, whence, e[state[state < S]]))
+        s, out = int(kept[-1][0][score.argmax()]), []
+        for j in range(J - 1, -1, -1):
+            state, whence, got = kept[j]
+            k = int(np.searchsorted(state, s))
+            if s < S:
+                out += [(i, j, float(got[k] / n_e[j])) for i in range(first[s], last[s] + 1)]
+            s = int(whence[k])
+        return out[::-1]
+
+
+def pages_of(es: list[str], eu: list[str], m: Model, at: int = 0, of: int | None = None) -> Pages:
+    """eu may be a window of a page of `of` sentences that begins at `at`."""
+    place = (0, len(es), at, len(eu) if of is None else of)
+    return (LongPages if max(len(es), len(eu)) > LONG else Pages)(es, eu, m, place)
+
+
 def page_pairs(index: DataFrame, sentences: DataFrame, es_col: str = "url_es", eu_col: str = "url_eu", window: int = 1000) -> DataFrame:
-    """(pair, es_ids, es, eu_ids, eu): the sentences of both pages of a bulletin in reading order.
+    """(pair, es_ids, es, eu_ids, eu, at, of): the sentences of both pages of a bulletin in reading order.
 
     Pairs of pages listed more than once count once; pages that are null or paired with themselves have no pair. A
     sentence delivered more than once counts once; null and blank sentences are left out; blanks are made single.
 
-    A target page of more than `window` sentences comes in several rows, so that no row grows with its page: each has a
-    window of the target and the part of the source at the same relative place, with half a window's share on both
-    sides. Shorter pages, which is all but the most unusual, come whole.
+    A target page of more than `window` sentences comes in several rows, so that its decoding is shared out: each has a
+    window of the target, which begins at `at` of its `of` sentences, beside the whole source page. So each sentence of
+    one page meets each of the other, however far away it stands.
     """
     pages = index.select(F.col(es_col).alias("u"), F.col(eu_col).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
     pages = pages.select(F.xxhash64("u", "v").alias("pair"), "u", "v")
@@ -368,20 +484,18 @@ def page_pairs(index: DataFrame, sentences: DataFrame, es_col: str = "url_es", e
     whole = rows.where(F.col("n_eu") <= window).withColumn("part", F.lit(0).cast("long"))
     long = rows.where(F.col("n_eu") > window)
     place = F.row_number().over(Window.partitionBy("pair", "language").orderBy("para_no", "sent_no", "sent_id")) - 1
-    long = long.withColumn("at", place)
-    at = F.col("at") * parts / F.col("n_es")
-    spread = F.when(F.col("language") == "eu", F.array(F.floor(F.col("at") / window))).otherwise(F.sequence(F.greatest(F.floor(at - 0.5), F.lit(0).cast("long")), F.least(F.floor(at + 0.5), parts.cast("long") - 1)))
-    long = long.withColumn("part", F.explode(spread)).drop("at")
+    spread = F.when(F.col("language") == "eu", F.array(F.floor(F.col("at") / window))).otherwise(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))
+    long = long.withColumn("at", place).withColumn("part", F.explode(spread)).drop("at")
     rows = whole.unionByName(long)
     one = F.struct("para_no", "sent_no", "sent_id", "t")
-    got = rows.groupBy("pair", "u", "v", "part").agg(*[F.sort_array(F.collect_list(F.when(F.col("language") == lang, one))).alias(lang) for lang in ("es", "eu")])
-    return got.where("size(es) > 0 AND size(eu) > 0").select("pair", F.col("es.sent_id").alias("es_ids"), F.col("es.t").alias("es"), F.col("eu.sent_id").alias("eu_ids"), F.col("eu.t").alias("eu"))
+    got = rows.groupBy("pair", "u", "v", "part", "n_eu").agg(*[F.sort_array(F.collect_list(F.when(F.col("language") == lang, one))).alias(lang) for lang in ("es", "eu")])
+    return got.where("size(es) > 0 AND size(eu) > 0").select("pair", F.col("es.sent_id").alias("es_ids"), F.col("es.t").alias("es"), F.col("eu.sent_id").alias("eu_ids"), F.col("eu.t").alias("eu"), (F.col("part") * window).alias("at"), F.col("n_eu").alias("of"))
 
 
 def train(pairs: DataFrame, rounds: int = 5, max_train: int = 3000, least: float = 0.05, max_entries: int = 300_000) -> Model:
     """The model after so many rounds over at most max_train page pairs (those of lowest hash)."""
     spark = pairs.sparkSession
-    data = cut(lowest(pairs.withColumn("_h", F.xxhash64("pair", F.col("eu_ids")[0])), "_h", max_train).select("es", "eu").repartition(min(32, max(2, spark.sparkContext.defaultParallelism))))
+    data = cut(lowest(pairs.withColumn("_h", F.xxhash64("pair", F.col("eu_ids")[0])), "_h", max_train).select("es", "eu", "at", "of").repartition(min(32, max(2, spark.sparkContext.defaultParallelism))))
     model = Model()
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
@@ -389,8 +503,8 @@ def train(pairs: DataFrame, rounds: int = 5, max_train: int = 3000, least: float
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             total: Counter = Counter()
             for b in batches:
-                for es, eu in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                    p = Pages(es, eu, sent.value)
+                for es, eu, at, of in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+                    p = pages_of(es, eu, sent.value, at, of)
                     total.update(p.counts(p.decode()))
             keys = list(total)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()), pa.array([float(total[k]) for k in keys], pa.float64())], names=["k", "s", "e", "c"])
@@ -443,15 +557,15 @@ def align(pairs: DataFrame, model: Model, null_per_word: float = 1.2, least_hit:
         m = sent.value
         for b in batches:
             out = []
-            for pid, ei, es, ui, eu in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
-                p = Pages(es, eu, m)
+            for pid, ei, es, ui, eu, at, of in zip(*(b.column(k).to_pylist() for k in range(7)), strict=True):
+                p = pages_of(es, eu, m, at, of)
                 for i, j, s in p.decode(null_per_word):
-                    if not m.trained or max(p.hit_e[i, j], p.hit_s[i, j]) >= least_hit:
+                    if not m.trained or p.hit(i, j) >= least_hit:
                         out.append((pid, ei[i], ui[j], s))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["pair", "es_id", "eu_id", "score"])
 
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("pair", "es_id", "eu_id")] + [T.StructField("score", T.DoubleType())])
-    return pairs.select("pair", "es_ids", "es", "eu_ids", "eu").mapInArrow(run, schema)
+    return pairs.select("pair", "es_ids", "es", "eu_ids", "eu", "at", "of").mapInArrow(run, schema)
 
 
 def found_pairs(aligned: DataFrame) -> DataFrame:

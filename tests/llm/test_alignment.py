@@ -75,3 +75,37 @@ def test_edges(spark):
     assert al.found_pairs(al.align(p, al.train(p, rounds=2))).isEmpty()
     assert al.Pages([], ["x"], al.Model()).decode() == [] and al.Pages(["uno"], [], al.Model()).decode() == []
     assert al.Pages(["uno 5 casa"], ["etxe 5"], al.Model()).decode() == [(0, 0, al.Pages(["uno 5 casa"], ["etxe 5"], al.Model()).scores()[0, 0] / 2)]
+
+
+def test_far_counterparts_on_long_pages_are_found(spark):
+    rng = random.Random(3)
+    words = sorted(WORDS)
+    src = [(rng.sample(words, 6), 1000 + k) for k in range(60)]
+    es = [(k, "es", "es", k, k, f"El {' '.join(w)} de {x} metros.") for k, (w, x) in enumerate(src)]
+    order = [*range(4, 54), 0, 1, 2, 3, *range(54, 60)]  # the first passage stands near the target's end
+    eu = [(1000 + j, "eu", "eu", j, j, f"{src[i][1]} metroko {' '.join(WORDS[a] for a in reversed(src[i][0]))} da.") for j, i in enumerate(order)]
+    other = [r for k in range(150) for r in bulletin(rng, k)[0]]
+    sch = "sent_id long, url string, language string, para_no int, sent_no int, content string"
+    model = al.train(al.page_pairs(spark.createDataFrame([(f"es{k}", f"eu{k}") for k in range(150)], "url_es string, url_eu string"), spark.createDataFrame(other, sch)))
+    p = al.page_pairs(spark.createDataFrame([("es", "eu")], "url_es string, url_eu string"), spark.createDataFrame(es + eu, sch), window=20)
+    assert p.count() == 3 and {len(r["es"]) for r in p.collect()} == {60}
+    assert {(k, 1050 + k) for k in range(4)} <= rows(al.found_pairs(al.align(p, model)))
+
+
+def test_tiles_give_the_same_as_whole_pages(spark):
+    rng = random.Random(4)
+    es, eu = [], []
+    for k in range(6):
+        b, _ = bulletin(rng, k)
+        es += [r[5] for r in b if r[2] == "es"]
+        eu += [r[5] for r in b if r[2] == "eu"]
+    other = [r for k in range(100) for r in bulletin(rng, k)[0]]
+    model = al.train(al.page_pairs(spark.createDataFrame([(f"es{k}", f"eu{k}") for k in range(100)], "url_es string, url_eu string"), spark.createDataFrame(other, "sent_id long, url string, language string, para_no int, sent_no int, content string")))
+    for m in (al.Model(), model):
+        whole, tiled = al.Pages(es, eu, m), al.LongPages(es, eu, m, tile=7, cells=500)
+        a, b = whole.decode(), tiled.decode()
+        assert [x[:2] for x in a] == [x[:2] for x in b] and max(abs(x[2] - y[2]) for x, y in zip(a, b, strict=True)) < 1e-9
+        if m.trained:
+            assert all(abs(whole.hit(i, j) - tiled.hit(i, j)) < 1e-9 for i, j, _ in a)
+        c, d = whole.counts(a), tiled.counts(b)
+        assert c.keys() == d.keys() and all(abs(c[k] - d[k]) < 1e-6 for k in c)
