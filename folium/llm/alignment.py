@@ -10,8 +10,8 @@ figures, names and shared beginnings of words, each later one by the table of th
 Figures and names translate to themselves. Where both sentences hold one that the other lacks they contradict each
 other; a figure that only one of them holds is an addition.
 
-The table is trained on a bounded number of page pairs (max_train) and holds pairs of at least `least` weight; all
-page pairs are decoded, each within one row that holds no more than its two pages; long ones with their scores in tiles.
+The table is trained on all page pairs and holds pairs of at least `least` weight and 0.001 chance; all page pairs are
+decoded, each within one row that holds no more than its two pages; long ones with their scores in tiles.
 """
 
 from __future__ import annotations
@@ -492,33 +492,46 @@ def page_pairs(index: DataFrame, sentences: DataFrame, es_col: str = "url_es", e
     return got.where("size(es) > 0 AND size(eu) > 0").select("pair", F.col("es.sent_id").alias("es_ids"), F.col("es.t").alias("es"), F.col("eu.sent_id").alias("eu_ids"), F.col("eu.t").alias("eu"), (F.col("part") * window).alias("at"), F.col("n_eu").alias("of"))
 
 
-def train(pairs: DataFrame, rounds: int = 5, max_train: int = 3000, least: float = 0.05, max_entries: int = 300_000) -> Model:
-    """The model after so many rounds over at most max_train page pairs (those of lowest hash)."""
+def train(pairs: DataFrame, rounds: int = 5, max_train: int | None = None, least: float = 0.05) -> Model:
+    """The model after so many rounds over all page pairs, or over max_train of them (those of lowest hash).
+
+    Table entries of less weight than `least`, or a chance below 1 in 1,000 given their source word, are left out
+    before anything goes to the driver, as are words, clauses and jumps that occur once; nothing else is.
+    """
     spark = pairs.sparkSession
-    data = cut(lowest(pairs.withColumn("_h", F.xxhash64("pair", F.col("eu_ids")[0])), "_h", max_train).select("es", "eu", "at", "of").repartition(min(32, max(2, spark.sparkContext.defaultParallelism))))
+    if max_train is not None:
+        pairs = lowest(pairs.withColumn("_h", F.xxhash64("pair", F.col("eu_ids")[0])), "_h", max_train)
+    data = cut(pairs.select("es", "eu", "at", "of").repartition(max(2, spark.sparkContext.defaultParallelism, pairs.rdd.getNumPartitions())))
     model = Model()
     for _ in range(rounds):
         sent = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             total: Counter = Counter()
+
+            def batch() -> pa.RecordBatch:
+                keys = list(total)
+                return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()), pa.array([float(total[k]) for k in keys], pa.float64())], names=["k", "s", "e", "c"])
+
             for b in batches:
                 for es, eu, at, of in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
                     p = pages_of(es, eu, sent.value, at, of)
                     total.update(p.counts(p.decode()))
-            keys = list(total)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()), pa.array([float(total[k]) for k in keys], pa.float64())], names=["k", "s", "e", "c"])
+                    if len(total) > 200_000:  # summed up by Spark, so a task may give its counts in parts
+                        yield batch()
+                        total.clear()
+            yield batch()
 
         got = data.mapInArrow(run, "k string, s string, e string, c double").groupBy("k", "s", "e").agg(F.sum("c").alias("c"))
-        rows = got.where((F.col("k") != "L") & (F.col("c") >= 2) | (F.col("k") == "L") & (F.col("c") >= least)).orderBy(F.desc("c"), "k", "s", "e").limit(max_entries).collect()
+        got = cut(got.where((F.col("k") != "L") & (F.col("c") >= 2) | (F.col("k") == "L") & (F.col("c") >= least)))
+        lex = got.where("k = 'L'")
+        of_s = lex.groupBy("s").agg(F.sum("c").alias("n_s"))
+        of_e = lex.where(F.col("s") != NULL).groupBy("e").agg(F.sum("c").alias("n_e"))
+        kept = lex.join(of_s, "s").where(F.col("c") >= 1e-3 * F.col("n_s")).join(of_e, "e", "left").select("k", "s", "e", "c", "n_s", "n_e")
+        nothing = F.lit(None).cast("double")
+        rows = kept.unionByName(got.where("k <> 'L'").withColumns({"n_s": nothing, "n_e": nothing})).orderBy(F.desc("c"), "k", "s", "e").collect()
         sent.destroy()
         m = Model(trained=True)
-        by_s, by_e = Counter(), Counter()
-        for r in rows:
-            if r["k"] == "L":
-                by_s[r["s"]] += r["c"]
-                if r["s"] != NULL:
-                    by_e[r["e"]] += r["c"]
         n_e = sum(r["c"] for r in rows if r["k"] == "B") or 1.0
         n_s = sum(r["c"] for r in rows if r["k"] == "R") or 1.0
         jumps = np.exp(default_jumps()) * 20
@@ -526,10 +539,8 @@ def train(pairs: DataFrame, rounds: int = 5, max_train: int = 3000, least: float
         for r in rows:
             k, s, e, c = r["k"], r["s"], r["e"], r["c"]
             if k == "L":
-                p = c / by_s[s]
-                if p >= 1e-3:
-                    m.forward.setdefault(s, {})[e] = p
-                    m.backward.setdefault(s, {})[e] = c / by_e[e] if s != NULL else 0.0
+                m.forward.setdefault(s, {})[e] = c / r["n_s"]
+                m.backward.setdefault(s, {})[e] = c / r["n_e"] if s != NULL else 0.0
             elif k == "B":
                 m.bg_e[e] = c / n_e
             elif k == "R":

@@ -109,3 +109,11 @@ def test_tiles_give_the_same_as_whole_pages(spark):
             assert all(abs(whole.hit(i, j) - tiled.hit(i, j)) < 1e-9 for i, j, _ in a)
         c, d = whole.counts(a), tiled.counts(b)
         assert c.keys() == d.keys() and all(abs(c[k] - d[k]) < 1e-6 for k in c)
+
+
+def test_all_page_pairs_count(spark):
+    text = [(f"El perro ladra en {k} metros.", f"{k} metrotan zakurra da.") for k in range(3200)]
+    pairs = spark.createDataFrame([(k, [2 * k], [a], [2 * k + 1], [b], 0, 1) for k, (a, b) in enumerate(text)], "pair long, es_ids array<long>, es array<string>, eu_ids array<long>, eu array<string>, at long, of long")
+    rare = spark.createDataFrame([(9000 + k, [9000 + 2 * k], [f"Sol {w}."], [9001 + 2 * k], [f"Eguzki {w}."], 0, 1) for k, w in enumerate(["ardo", "ardo"])], pairs.schema)
+    model = al.train(pairs.unionByName(rare), rounds=1)
+    assert round(model.bg_s["#"] / model.bg_s["ardo"]) == 1600 and "ardo" in model.forward
