@@ -124,8 +124,8 @@ def graph_missing_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def graph_captured(spark: SparkSession, d: str) -> DataFrame:
     """Edges as a single pass would resolve them that adds made-up base nodes to its index as it goes."""
-    rels = table(spark, d, "relations").withColumnRenamed("rel_id", "ord").select("ord", F.col("parent_node"), F.substring_index("json_path", ".", -1).alias("child_node"), "type")
-    nodes = _nodes(spark, d).where("depth <> '1'")
+    rels = table(spark, d, "relations").withColumnRenamed("rel_id", "ord").select("ord", "parent_node", "child_node", "type")
+    nodes = _nodes(spark, d)
     return resolve.resolved_edges(resolve.resolve(rels, nodes, node_order=ORDER, allow_orphans=True, captures=resolve.capture_bare_types(rels, nodes, ORDER)))
 
 

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from folium.operators import quality, resolve
+from folium.plans import graph_queries
 from tests.conftest import rows
 
 NODES = [("d1_root", "d1", "root", "d1", 0), ("d1_p", "Nombre", "pages", "d1", 1), ("d2_x", "Nombre", "pages", "d1", 2), ("", "vacio", "", "", 3), ("d3_q", "spans", "", "", 4)]
@@ -36,6 +37,15 @@ def test_capture_follows_a_single_pass(spark):
     assert [(x["start_id"], x["end_id"]) for x in got] == [("ORPHAN::zz", "ORPHAN::words"), ("d3_q", "d3_words"), ("d1_root", "d3_words"), ("d3_words", "d3_words")]
 
 
+def test_captured_query_takes_whole_tables(spark, tmp_path):
+    n = [("d1_root", "d1", "d1", "root", "0"), ("d1_p", "Nombre", "d1", "pages", "1"), ("d3_q", "spans", "d3", "spans", None)]
+    spark.createDataFrame(n, "id string, name string, source string, type string, depth string").selectExpr("*", "timestamp'2024-01-01' AS loaded_at").write.parquet(str(tmp_path / "graph_nodes.parquet"))
+    r = [(1, "zz", "words", "a.b"), (2, "d1_root", "d1_p", "pages"), (3, "d3_q", "words", "x.lines"), (4, "d1_root", "words", "words")]
+    spark.createDataFrame(r, "rel_id long, parent_node string, child_node string, json_path string").selectExpr("*", "'TIENE' AS type").write.parquet(str(tmp_path / "relations.parquet"))
+    want = {("ORPHAN::zz", "ORPHAN::words"), ("d1_root", "d1_p"), ("d3_q", "d3_words"), ("d1_root", "d3_words")}
+    assert rows(graph_queries.graph_captured(spark, str(tmp_path)).select("start_id", "end_id")) == want
+
+
 def test_type_column():
     assert resolve.relation_type_column(["x", "edge_type", "rel"]) == "rel" and resolve.relation_type_column(["x"]) is None
 
