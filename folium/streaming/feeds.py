@@ -52,19 +52,33 @@ class OrphanFeed:
         self.state, self.on_snapshot, self.steps = orphans.OrphanState(), on_snapshot, 0
 
     def take(self, refs: DataFrame, parents: DataFrame) -> None:
-        self.state = self.state.step(orphans.references(refs), orphans.parent_events(parents))
+        self._step(refs, orphans.parent_events(parents))
+
+    def _step(self, refs: DataFrame, events: DataFrame) -> None:
+        self.state = self.state.step(orphans.references(refs), events)
         self.steps += 1
         self.on_snapshot(self.steps, self.state.snapshot())
 
-    def follow(self, refs: DataFrame, parents: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
-        """References stream in; the parents' table is read anew with each batch for rows loaded since the last."""
-        seen: list[object] = [None]
+    def _news(self, events: DataFrame) -> DataFrame:
+        """What events of the whole parents' table add to or take from those the state knows, by key and time."""
+        if not self.state.index:
+            return events
+        sums = [F.sum("came").cast("int").alias("came"), F.sum("here").cast("int").alias("here")]
+        now = events.groupBy("key", "t").agg(*sums).withColumn("n", F.lit(1))
+        old = self.state.events.groupBy("key", "t").agg(*sums).select("key", "t", -F.col("came").alias("came"), -F.col("here").alias("here"), F.lit(-1).alias("n"))
+        old = old.toDF("key", "t", "came", "here", "n")
+        d = now.unionByName(old).groupBy("key", "t").agg(*sums, F.sum("n").alias("n"))
+        return d.where("came <> 0 OR here <> 0 OR n > 0").select("key", "t", "came", "here")
+
+    def follow(self, refs: DataFrame, parents: DataFrame | Callable[[], DataFrame], checkpoint: str, **trigger: object) -> StreamingQuery:
+        """References stream in; with each batch the whole parents' table is held against what is known of it.
+
+        So late rows, rows without a time, and deletions of known rows count as soon as a batch comes. parents may be a
+        function that gives the table as it is then. A key once known stays known.
+        """
 
         def batch(rows: DataFrame, _: int) -> None:
-            new = parents if seen[0] is None else parents.where(F.col("loaded_at") > F.lit(seen[0]))
-            top = parents.agg(F.max("loaded_at")).first()[0]
-            self.take(rows, new)
-            seen[0] = top or seen[0]
+            self._step(rows, self._news(orphans.parent_events(parents() if callable(parents) else parents)))
 
         return refs.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

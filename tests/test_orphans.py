@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 from folium.operators import orphans
+from folium.streaming import feeds
 from tests.conftest import rows
 
 T0 = datetime(2024, 1, 1)
@@ -79,3 +80,20 @@ def test_empty(spark):
     assert found(orphans.replay(orphans.references(r.limit(0)), orphans.parent_events(n))) == set()
     got = found(orphans.replay(orphans.references(r), orphans.parent_events(n.limit(0))))
     assert {x[2] for x in got} == {"missing"}
+
+
+def test_feed_sees_late_rows_and_deletions(spark, tmp_path):
+    schema = "rel_id long, parent_node string, child_node string, seen_at timestamp"
+    day = lambda k: T0 + timedelta(days=k)
+    refs = [(1, "a", None, day(5)), (2, "late", None, day(5)), (3, "none", None, day(5))]
+    tables = [[("a", T0, None), ("new", day(9), None)], [("a", T0, day(2)), ("new", day(9), None), ("late", day(1), None), ("none", None, None)]]
+    nodes = "id string, loaded_at timestamp, deleted_at timestamp"
+    now = [tables[0]]
+    feed = feeds.OrphanFeed(lambda n, snap: None)
+    for k, want in enumerate(({(2, "missing"), (3, "missing")}, {(1, "deleted"), (3, "late")}, {(1, "deleted"), (3, "late")})):
+        now[0] = tables[min(k, 1)]
+        spark.createDataFrame(refs if not k else [(9 + k, "new", None, day(10))], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = feed.follow(feeds.read_feed(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema), lambda: spark.createDataFrame(now[0], nodes), str(tmp_path / "cp"))
+        q.awaitTermination(60)
+        assert q.exception() is None
+        assert rows(feed.state.pending().select("ref_id", "reason")) == want
