@@ -11,6 +11,7 @@ of their own are units, found from the lines around them; any other line break i
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,6 +49,7 @@ OTHERS = frozenset("!?…‼⁇⁈⁉।॥؟۔։።፧፨᙮᠃᠉။៕៖࠰
 CLOSERS = frozenset("\"'”’»›)]}」』）】》〉］｝〗〙〛›")
 OPENERS = {"“": "”", "„": "“”", "‘": "’", "«": "»", "‹": "›", "(": ")", "[": "]", "{": "}", "「": "」", "『": "』", "（": "）", "【": "】", "《": "》", "〈": "〉", "［": "］", "»": "«", "‚": "‘’"}
 BLANKS = frozenset(" \t\n\r\x0b\x0c\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff\u200b")
+BLANK_TEXT = "".join(BLANKS)
 DASHES = frozenset("-–—―·•")
 
 
@@ -60,7 +62,11 @@ def _tools():
 
     global _RE
     if "_RE" not in globals():
+        turns = sorted({*STOPS, *OTHERS, '"', *OPENERS, *"".join(OPENERS.values())})
         _RE = {
+            "turn": regex.compile(f"[{regex.escape(''.join(turns))}]"),
+            "turn_thai": regex.compile(f"[{regex.escape(''.join([*turns, *sorted(BLANKS)]))}]"),
+            "thai": regex.compile("[฀-໿က-႟ក-៓]"),
             "item": regex.compile(r"[^\S\n]*(?:(?P<dash>[-–—•*▪‣◦·])[^\S\n]+|(?P<num>\d{1,3})(?P<nm>[.)])[^\S\n]+|(?P<let>\p{L})(?P<lm>[.)])[^\S\n]+|\((?P<par>\p{L}|\d{1,3}|[ivx]+)\)[^\S\n]+)\S"),
             "word": regex.compile(r"[\p{L}\p{M}]+"),
             "start": regex.compile(r"[^\S\n]*(?:\p{Lu}|\d|[¿¡(«\"“„‘'])"),
@@ -68,12 +74,19 @@ def _tools():
     return _RE
 
 
-def _languages(text: str, declared: str | None) -> list[str]:
-    words = [w.lower() for w in _tools()["word"].findall(text)]
-    got = {k for k, ws in _WORDS.items() if any(w in ws for w in words)}
+def _languages(text: str, declared: str | None) -> tuple[str, ...]:
+    words = {w.lower() for w in _tools()["word"].findall(text)}
+    got = {k for k, ws in _WORDS.items() if not ws.isdisjoint(words)}
     if declared:
         got.add(declared[:2].lower())
-    return [k for k in _ABBR if k in got or k in ("hi", "ar")]
+    return tuple(k for k in _ABBR if k in got or k in ("hi", "ar"))
+
+
+@functools.lru_cache(maxsize=256)
+def _lists(languages: tuple[str, ...]) -> dict[str, frozenset[str]]:
+    """The abbreviations of some languages together, by kind."""
+    use = [_ABBR[k] for k in languages] or [_NONE]
+    return {c: frozenset().union(*(u[c] for u in use)) for c in ("title", "ref", "mid")}
 
 
 class _Block:
@@ -82,9 +95,8 @@ class _Block:
     def __init__(self, declared: str | None):
         self.declared = declared
 
-    def abbreviations(self, text: str):
-        use = [_ABBR[k] for k in _languages(text, self.declared)] or [_NONE]
-        return {c: frozenset().union(*(u[c] for u in use)) for c in ("title", "ref", "mid")}
+    def abbreviations(self, text: str) -> dict[str, frozenset[str]]:
+        return _lists(_languages(text, self.declared))
 
     def breaks(self, s: str) -> list[int]:
         """Positions after which a unit ends (the position of the first character that no longer belongs to it)."""
@@ -94,7 +106,15 @@ class _Block:
         at, k = 0, 0  # at: where the unit began
         limit = 2000  # an opener that is never closed counts no longer than this many characters
         opened: list[int] = []
+        tools = _tools()
+        turn = tools["turn_thai" if tools["thai"].search(s) else "turn"]
         while k < n:
+            m = turn.search(s, k)  # nothing happens between the characters that can open, close or end something
+            if begin and s[k : m.start() if m else n].strip(BLANK_TEXT):
+                begin = False
+            if not m:
+                break
+            k = m.start()
             c = s[k]
             if stack and k - opened[-1] > limit:
                 stack.clear()
