@@ -58,7 +58,7 @@ def _areas(spark: SparkSession, d: str) -> list[str]:
 
 def _document_areas(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "para_docs")
-    model = subjects.train(docs.dropDuplicates(["pdoc_id"]), _areas(spark, d))
+    model = subjects.train(docs, _areas(spark, d))
     return subjects.document_areas(subjects.paragraph_areas(docs, model))
 
 

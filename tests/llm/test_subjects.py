@@ -47,22 +47,31 @@ def test_areas_of_held_out_documents(spark):
 
 def test_gradient_is_that_of_the_loss():
     rng = np.random.default_rng(0)
-    e, o, b = rng.standard_normal((7, 3)), rng.standard_normal((3, 2)), rng.standard_normal(2)
-    off, val = np.array([0, 2, 5]), np.array([0, 3, 3, 1, 6])
-    y, w = np.array([[1.0, 0], [0, 1]]), np.array([2.0, 1.0])
+    texts = ["uno dos", "12 /", "dos tres dos", "cuatro"]
+    b = subjects.block(texts, [0, 0, 1, -1], [2.0, 5.0, 1.0, 3.0], 23)
+    e, o, c = rng.standard_normal((23, 3)), rng.standard_normal((3, 2)), rng.standard_normal(2)
+    bags = [bag(t, 23) for t in texts if bag(t, 23)]
+    y, w = np.array([[1.0, 0], [0, 1], [0, 0]]), np.array([2.0, 1.0, 3.0])
 
     def loss(x):
-        ee, oo, bb = x[:21].reshape(7, 3), x[21:27].reshape(3, 2), x[27:]
-        h = np.array([ee[[0, 3]].mean(0), ee[[3, 1, 6]].mean(0)])
-        s = 1 / (1 + np.exp(-(h @ oo + bb)))
+        ee, oo, cc = x[:69].reshape(23, 3), x[69:75].reshape(3, 2), x[75:]
+        s = 1 / (1 + np.exp(-(np.array([ee[k].mean(0) for k in bags]) @ oo + cc)))
         return -(w[:, None] * (y * np.log(s) + (1 - y) * np.log(1 - s))).sum()
 
-    flat = np.concatenate([e.ravel(), o.ravel(), b])
-    g = subjects.gradient(e, o, b, off, val, y, w)
+    flat = np.concatenate([e.ravel(), o.ravel(), c])
+    g = subjects.gradient(e, o, c, b)
     for k in range(len(flat)):
         d = np.zeros_like(flat)
         d[k] = 1e-5
         assert abs((loss(flat + d) - loss(flat - d)) / 2e-5 - g[k]) < 1e-3
+    assert subjects.block(["12 /", ""], [0, 1], [1.0, 1.0], 23) is None
+
+
+def test_shares_are_of_all_sentences(spark):
+    d, _ = corpus(spark)
+    whole = subjects.train(d, sorted(TOPICS), buckets=64, rounds=1)
+    some = subjects.train(d.union(d), sorted(TOPICS), buckets=64, rounds=1, max_rows=50)
+    assert np.allclose(whole.base, some.base) and 0 < whole.base.sum() < 1
 
 
 def test_edges(spark):
