@@ -10,22 +10,23 @@ figures, names and shared beginnings of words, each later one by the table of th
 Figures and names translate to themselves. Where both sentences hold one that the other lacks they contradict each
 other; a figure that only one of them holds is an addition.
 
-The table is trained on all page pairs and holds pairs of at least `least` weight and 0.001 chance; all page pairs are
+The table is trained on all page pairs and holds pairs of at least `least` weight and 0.001 chance. It stays in Spark: a
+small one is sent to every task, of a larger one each block of pages gets what its own words need. All page pairs are
 decoded, each within one row that holds no more than its two pages; long ones with their scores in tiles.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folium.llm.features import fold
 from folium.session import cut, lowest
@@ -86,12 +87,46 @@ def page_names(texts: list[str]) -> set[str]:
     return out
 
 
+class Table:
+    """t(e|s) and t(s|e) of word pairs, in rows of arrays by source word."""
+
+    def __init__(self, entries: list[tuple[str, str, float, float]] = ()):
+        """entries: (s, e, t(e|s), t(s|e))."""
+        self.source: dict[str, int] = {}
+        self.target: dict[str, int] = {}
+        s = np.array([self.source.setdefault(x[0], len(self.source)) for x in entries], dtype=np.int32)
+        e = np.array([self.target.setdefault(x[1], len(self.target)) for x in entries], dtype=np.int32)
+        order = np.argsort(s, kind="stable")
+        self.e, self.f, self.b = e[order], np.array([x[2] for x in entries])[order], np.array([x[3] for x in entries])[order]
+        self.at = np.searchsorted(s[order], np.arange(len(self.source) + 1))
+        self.column = np.full(len(self.target), -1, dtype=np.int32)  # scratch: which of the wanted words a target word is
+
+    def part(self, ws: Iterable[str], es: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(len(ws), len(es)): both chances; 0 for pairs that aren't held. ws and es are each distinct."""
+        ws, es = list(ws), list(es)
+        f, b = np.zeros((len(ws), len(es))), np.zeros((len(ws), len(es)))
+        rows = [(k, n) for k, w in enumerate(ws) if (n := self.source.get(w)) is not None]
+        cols = [(k, n) for k, e in enumerate(es) if (n := self.target.get(e)) is not None]
+        if rows and cols:
+            a, n = np.array(rows).T
+            c, m = np.array(cols).T
+            size = self.at[n + 1] - self.at[n]
+            flat = np.arange(size.sum()) + np.repeat(self.at[n] - np.r_[0, np.cumsum(size)[:-1]], size)
+            self.column[m] = c
+            to = self.column[self.e[flat]]
+            self.column[m] = -1
+            here = to >= 0
+            row, to, flat = np.repeat(a, size)[here], to[here], flat[here]
+            f[row, to], b[row, to] = self.f[flat], self.b[flat]
+        return f, b
+
+
 @dataclass
 class Model:
-    """forward[s][e] = t(e|s), backward[s][e] = t(s|e); bg_*: shares of the words; jump: log chance by distance."""
+    """table: chances of word pairs; null[e] = t(e|null); bg_*: shares of the words; jump: log chance by distance."""
 
-    forward: dict[str, dict[str, float]] = field(default_factory=dict)
-    backward: dict[str, dict[str, float]] = field(default_factory=dict)
+    table: Table = field(default_factory=Table)
+    null: dict[str, float] = field(default_factory=dict)
     bg_e: dict[str, float] = field(default_factory=dict)
     bg_s: dict[str, float] = field(default_factory=dict)
     jump: np.ndarray | None = None
@@ -120,21 +155,30 @@ class Scores:
     n_single: int
 
 
+def marked(es: list[str], eu: list[str]) -> tuple[list[str], list[str]]:
+    """The sentences of two pages as their tokens, with blanks between, and tabs between clauses."""
+    names = page_names(es) | page_names(eu)
+    return tuple(["\t".join(" ".join(c) for c in clauses(t, names)) for t in page] for page in (es, eu))
+
+
+def parts_of(sentence: str) -> list[list[str]]:
+    """The clauses of a marked sentence."""
+    return [c.split(" ") if c else [] for c in sentence.split("\t")]
+
+
 class Pages:
-    """Two pages as word matrices."""
+    """Two pages, marked, as word matrices."""
 
-    def __init__(self, es: list[str], eu: list[str], m: Model, place: tuple[int, int, int, int] | None = None, names: set[str] | None = None):
+    def __init__(self, es: list[str], eu: list[str], m: Model, place: tuple[int, int, int, int] | None = None):
         """place: where es and eu begin in their pages and how long those are, if they are parts of them."""
         self.place = place or (0, len(es), 0, len(eu))
-        names = page_names(es) | page_names(eu) if names is None else names
-        self.CS, self.CE, self.m = [clauses(t, names) for t in es], [clauses(t, names) for t in eu], m
-        self.S, self.E = [[w for c in x for w in c] for x in self.CS], [[w for c in x for w in c] for x in self.CE]
+        self._divide(es, eu, m)
         self.sv = {w: k for k, w in enumerate(dict.fromkeys(w for s in self.S for w in s))}
         self.ev = {w: k for k, w in enumerate(dict.fromkeys(w for s in self.E for w in s))}
         self.M_s = self._counts(self.S, self.sv)
         self.M_e = self._counts(self.E, self.ev)
-        self.K_s = self._counts([[w for c in x if pattern(c) not in m.loose for w in c] for x in self.CS], self.sv)
-        self.K_e = self._counts([[w for c in x if pattern(c) not in m.loose for w in c] for x in self.CE], self.ev)
+        self.K_s = self._counts([[w for c, q in zip(x, y, strict=True) if q not in m.loose for w in c] for x, y in zip(self.CS, self.QS, strict=True)], self.sv)
+        self.K_e = self._counts([[w for c, q in zip(x, y, strict=True) if q not in m.loose for w in c] for x, y in zip(self.CE, self.QE, strict=True)], self.ev)
         self.sp_s = np.array([_special(w) for w in self.sv], dtype=bool)
         self.sp_e = np.array([_special(w) for w in self.ev], dtype=bool)
         self.same = np.zeros((len(self.sv), len(self.ev)), dtype=bool)
@@ -143,6 +187,13 @@ class Pages:
             if b is not None:
                 self.same[a, b] = True
 
+    def _divide(self, es: list[str], eu: list[str], m: Model) -> None:
+        """Clauses, their patterns, and the words of each sentence."""
+        self.m = m
+        self.CS, self.CE = [parts_of(t) for t in es], [parts_of(t) for t in eu]
+        self.QS, self.QE = [[pattern(c) for c in x] for x in self.CS], [[pattern(c) for c in x] for x in self.CE]
+        self.S, self.E = [[w for c in x for w in c] for x in self.CS], [[w for c in x for w in c] for x in self.CE]
+
     @staticmethod
     def _counts(rows: list[list[str]], vocab: dict[str, int]) -> np.ndarray:
         out = np.zeros((len(rows), len(vocab)))
@@ -154,27 +205,18 @@ class Pages:
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """t(e|s), t(s|e) over the pages' words, and t(e|null)."""
         m, ev = self.m, self.ev
-        f = np.zeros((len(self.sv), len(ev)))
-        b = np.zeros_like(f)
-        for w, a in self.sv.items():
-            if _special(w):
-                continue
-            row, back = m.forward.get(w), m.backward.get(w)
-            if row:
-                for e in row.keys() & ev.keys():
-                    f[a, ev[e]] = row[e]
-                    b[a, ev[e]] = back[e]
-        eq = self.same & (self.sp_s[:, None] | (len(m.forward) == 0))
+        f, b = m.table.part(self.sv, ev)
+        self.learned = f.copy()
+        eq = self.same & (self.sp_s[:, None] | (not m.table.source))
         f[eq] = 0.9
         b[eq] = 0.9
-        unknown = np.array([w not in m.forward for w in self.sv])
+        unknown = np.array([w not in m.table.source for w in self.sv])
         eq = self.same & unknown[:, None]
         f[eq] = 0.5
         b[eq] = 0.5
         n = np.zeros(len(ev))
-        row = m.forward.get(NULL, {})
         for e, k in ev.items():
-            n[k] = row.get("#" if e[0] == "#" else "@" if e[0] == "@" else e, 1e-5)
+            n[k] = m.null.get("#" if e[0] == "#" else "@" if e[0] == "@" else e, 1e-5)
         return f, b, n
 
     def conflicts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -298,47 +340,48 @@ class Pages:
     def gain_s(self, i: int, js: list[int]) -> tuple[np.ndarray, dict[str, int]]:
         return self.lr_s[js].max(0), self.sv
 
-    def counts(self, pairs: list[tuple[int, int, float]]) -> Counter:
-        """Expected counts: words of aligned sentences by the current table, words of the pages, jumps."""
-        out: Counter = Counter()
-        for s in self.S if self.place[2] == 0 else ():  # the source stands beside each window of the target, and counts once
-            for w in s:
-                out["R", "#" if w[0] == "#" else "@" if w[0] == "@" else w, ""] += 1
-        for s in self.E:
-            for w in s:
-                out["B", "", "#" if w[0] == "#" else "@" if w[0] == "@" else w] += 1
+    def counts(self, pairs: list[tuple[int, int, float]], out: Counter | None = None) -> Counter:
+        """Expected counts, added to out: words of aligned sentences by the current table, words of the pages, jumps."""
+        out = Counter() if out is None else out
+        if self.place[2] == 0:  # the source stands beside each window of the target, and counts once
+            for w, n in Counter(chain.from_iterable(self.S)).items():
+                out["R", w[0] if _special(w) else w, ""] += n
+        for w, n in Counter(chain.from_iterable(self.E)).items():
+            out["B", "", w[0] if _special(w) else w] += n
         by: dict[int, list[int]] = defaultdict(list)
         for i, j, _ in pairs:
             by[j].append(i)
-        lex = self.m.forward
+        null = self.m.null
         for j, src in by.items():
             ws = [w for i in src for w in self.S[i]]
             plain = list(dict.fromkeys(w for w in ws if not _special(w)))
             special = {w for w in ws if _special(w)}
             for e in self.E[j]:
-                if _special(e):
-                    if e not in special:
-                        out["L", NULL, e[0]] += 1
-                    continue
-                if self.m.trained:
-                    p = [lex.get(w, {}).get(e, 1e-6) for w in plain]
-                    z = sum(p) + (q := lex.get(NULL, {}).get(e, 1e-6))
-                    for w, x in zip(plain, p, strict=True):
-                        if x > 0.01 * z:
-                            out["L", w, e] += x / z
-                    out["L", NULL, e] += q / z
-                else:
+                if _special(e) and e not in special:
+                    out["L", NULL, e[0]] += 1
+            es = [e for e in self.E[j] if not _special(e)]
+            if self.m.trained and es:
+                p = self.chances(plain, es)
+                q = np.array([null.get(e, 1e-6) for e in es])
+                z = p.sum(0) + q
+                a, b = np.nonzero(p > 0.01 * z)
+                for w, e, x in zip(a.tolist(), b.tolist(), (p[a, b] / z[b]).tolist(), strict=True):
+                    out["L", plain[w], es[e]] += x
+                for e, x in zip(es, (q / z).tolist(), strict=True):
+                    out["L", NULL, e] += x
+            else:
+                for e in es:
                     for w in plain:
                         out["L", w, e] += 1 / (len(plain) + 1)
                     out["L", NULL, e] += 1 / (len(plain) + 1)
         if self.m.trained:
             for j, src in by.items():
-                self._matches(out, self.CE[j], [w for i in src for w in self.S[i]], *self.gain_e(src, j), "e")
+                self._matches(out, self.CE[j], self.QE[j], [w for i in src for w in self.S[i]], *self.gain_e(src, j), "e")
             tgt: dict[int, list[int]] = defaultdict(list)
             for i, j, _ in pairs:
                 tgt[i].append(j)
             for i, js in tgt.items():
-                self._matches(out, self.CS[i], [w for j in js for w in self.E[j]], *self.gain_s(i, js), "s")
+                self._matches(out, self.CS[i], self.QS[i], [w for j in js for w in self.E[j]], *self.gain_s(i, js), "s")
         last = None
         for j in sorted(by):
             a, b = min(by[j]), max(by[j])
@@ -347,19 +390,22 @@ class Pages:
             last = b
         return out
 
+    def chances(self, ws: list[str], es: list[str]) -> np.ndarray:
+        """t(e|w) of the learned table, a little where it has none."""
+        return np.maximum(self.learned[[[self.sv[w]] for w in ws], [self.ev[e] for e in es]], 1e-6) if ws else np.zeros((0, len(es)))
 
     @staticmethod
-    def _matches(out: Counter, parts: list[list[str]], other: list[str], lr: np.ndarray, vocab: dict[str, int], side: str) -> None:
+    def _matches(out: Counter, parts: list[list[str]], patterns: list[str], other: list[str], lr: np.ndarray, vocab: dict[str, int], side: str) -> None:
         """How often words and clauses of an aligned sentence find a counterpart in the other one."""
-        there = set(other)
-        for c in parts:
-            hits = [(w in there) if _special(w) else bool(lr[vocab[w]] > 0.5) for w in c]
+        there, ok = set(other), (lr > 0.5).tolist()
+        for c, q in zip(parts, patterns, strict=True):
+            hits = [(w in there) if _special(w) else ok[vocab[w]] for w in c]
             for w, h in zip(c, hits, strict=True):
                 if not _special(w):
                     out["W" + side, w, "1" if h else "0"] += 1
             special = [h for w, h in zip(c, hits, strict=True) if _special(w)]
             lost = not any(special) if special else sum(hits) < 0.34 * len(hits)
-            out["C", pattern(c), "0" if lost else "1"] += 1
+            out["C", q, "0" if lost else "1"] += 1
 
 
 class LongPages(Pages):
@@ -370,13 +416,11 @@ class LongPages(Pages):
     """
 
     def __init__(self, es: list[str], eu: list[str], m: Model, place: tuple[int, int, int, int] | None = None, tile: int = 500, cells: int = 12_000_000):
-        self.es, self.eu, self.m, self.place, self.tile, self.cells = es, eu, m, place or (0, len(es), 0, len(eu)), tile, cells
-        self.names = page_names(es) | page_names(eu)
-        self.CS, self.CE = [clauses(t, self.names) for t in es], [clauses(t, self.names) for t in eu]
-        self.S, self.E = [[w for c in x for w in c] for x in self.CS], [[w for c in x for w in c] for x in self.CE]
+        self.es, self.eu, self.place, self.tile, self.cells = es, eu, place or (0, len(es), 0, len(eu)), tile, cells
+        self._divide(es, eu, m)
 
     def _part(self, src: list[int], js: list[int]) -> Pages:
-        p = Pages([self.es[i] for i in src], [self.eu[j] for j in js], self.m, names=self.names)
+        p = Pages([self.es[i] for i in src], [self.eu[j] for j in js], self.m)
         p.scores()
         return p
 
@@ -391,6 +435,11 @@ class LongPages(Pages):
         p = self._part([i], js)
         return p.gain_s(0, list(range(len(js))))
 
+    def chances(self, ws: list[str], es: list[str]) -> np.ndarray:
+        one = list(dict.fromkeys(es))
+        at = {e: k for k, e in enumerate(one)}
+        return np.maximum(self.m.table.part(ws, one)[0][:, [at[e] for e in es]], 1e-6)
+
     def strip(self, j0: int, j1: int) -> np.ndarray:
         """Scores of all states for targets j0 to j1. Tiles share a sentence, for the span over their border."""
         I = len(self.es)
@@ -398,7 +447,7 @@ class LongPages(Pages):
         for i0 in range(0, max(I - 1, 1), self.tile):
             i1 = min(i0 + self.tile + 1, I)
             place = (self.place[0] + i0, self.place[1], self.place[2] + j0, self.place[3])
-            sc = Pages(self.es[i0:i1], self.eu[j0:j1], self.m, place, self.names).emissions()
+            sc = Pages(self.es[i0:i1], self.eu[j0:j1], self.m, place).emissions()
             out[i0:i1] = sc.emit[: sc.n_single]
             out[I + i0 : I + i1 - 1] = sc.emit[sc.n_single :]
         return out
@@ -414,6 +463,8 @@ class LongPages(Pages):
         jump = self.m.jump if self.m.jump is not None else default_jumps()
         start = np.log(0.5) * np.minimum(first, 6)
         apart = np.max([*jump, 0.0]) - np.min([*(jump + 4 * np.log(0.5)), 6 * np.log(0.5)]) + 1e-6
+        # no state that scores less than this behind the null state can win, whatever the jumps to and from it
+        behind = -1.5 - apart - max([*jump, 0.0])
         strip = max(1, min(self.tile, self.cells // S))
         kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # states (as in Pages), whence, scores where they emit
         score = np.empty(0)
@@ -432,17 +483,18 @@ class LongPages(Pages):
                 here = np.array([score[at[s]] if s in at else -np.inf for s in places.tolist()])
                 gone = np.array([score[at[s + S]] if s + S in at else -np.inf for s in places.tolist()])
                 prev, who = np.maximum(here, gone), np.where(here >= gone, places, places + S)
-                v, k = np.full(S, -np.inf), np.full(S, 2 * S)
+                can = np.flatnonzero(e >= null[j] + behind)
+                v, k = np.full(len(can), -np.inf), np.full(len(can), 2 * S)
                 for a in range(len(places)):
-                    d = first - last[places[a]]
+                    d = first[can] - last[places[a]]
                     t = prev[a] + jump[np.clip(d, -JUMPS, JUMPS) + JUMPS] + np.log(0.5) * np.minimum(np.maximum(np.abs(d) - JUMPS, 0), 4)
                     more = t > v
                     v[more], k[more] = t[more], who[a]
                 none = score[at[2 * S]] if 2 * S in at else -np.inf
-                use0 = none + start > v
-                v, k = np.where(use0, none + start, v), np.where(use0, 2 * S, k)
-                state, whence = np.r_[np.arange(S), places + S, 2 * S], np.r_[k, who, 2 * S]
-                score = np.r_[v + e, prev + null[j] - 1.5, none + null[j] - 1.5]
+                use0 = none + start[can] > v
+                v, k = np.where(use0, none + start[can], v), np.where(use0, 2 * S, k)
+                state, whence = np.r_[can, places + S, 2 * S], np.r_[k, who, 2 * S]
+                score = np.r_[v + e[can], prev + null[j] - 1.5, none + null[j] - 1.5]
             keep = score >= score.max() - apart
             state, whence, score = state[keep], whence[keep], score[keep]
             kept.append((state, whence, e[state[state < S]]))
@@ -457,7 +509,7 @@ class LongPages(Pages):
 
 
 def pages_of(es: list[str], eu: list[str], m: Model, at: int = 0, of: int | None = None) -> Pages:
-    """eu may be a window of a page of `of` sentences that begins at `at`."""
+    """Two marked pages; eu may be a window of a page of `of` sentences that begins at `at`."""
     place = (0, len(es), at, len(eu) if of is None else of)
     return (LongPages if max(len(es), len(eu)) > LONG else Pages)(es, eu, m, place)
 
@@ -492,91 +544,188 @@ def page_pairs(index: DataFrame, sentences: DataFrame, es_col: str = "url_es", e
     return got.where("size(es) > 0 AND size(eu) > 0").select("pair", F.col("es.sent_id").alias("es_ids"), F.col("es.t").alias("es"), F.col("eu.sent_id").alias("eu_ids"), F.col("eu.t").alias("eu"), (F.col("part") * window).alias("at"), F.col("n_eu").alias("of"))
 
 
-def train(pairs: DataFrame, rounds: int = 5, max_train: int | None = None, least: float = 0.05) -> Model:
-    """The model after so many rounds over all page pairs, or over max_train of them (those of lowest hash).
+def mark_pairs(pairs: DataFrame) -> DataFrame:
+    """pairs with both pages marked, so that every round needs only to divide them at blanks and tabs."""
+    names = ["pair", "es_ids", "es", "eu_ids", "eu", "at", "of"]
+    pairs = pairs.select(*[F.col(c).cast("long") if c in ("pair", "at", "of") else F.col(c) for c in names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [marked(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(4).to_pylist(), strict=True)]
+            cols = [b.column(k) for k in range(7)]
+            cols[2], cols[4] = (pa.array([g[k] for g in got], pa.list_(pa.string())) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return pairs.mapInArrow(run, pairs.schema)
+
+
+STATS = "k string, s string, e string, c double, n_s double, n_e double"
+
+
+@dataclass
+class Statistics:
+    """Counts of a round: rows (STATS) in Spark, as many as there are words and word pairs, and the few that all pages need.
+
+    A table of at most max_entries rows goes to every task; a larger one is divided: pages are put into blocks, and each
+    block gets the rows of its own words. Both give the same.
+    """
+
+    rows: DataFrame
+    totals: dict[str, float]
+    jump: np.ndarray
+    size: int
+    max_entries: int
+
+    def model(self) -> Model:
+        """The whole model on the driver."""
+        return build_model(self.rows.collect(), self.totals, self.jump)
+
+    def spread(self) -> bool:
+        return self.size > self.max_entries
+
+
+def build_model(rows: list, totals: dict[str, float], jump: np.ndarray) -> Model:
+    """A model from rows of statistics, or from those of them that some pages need. The order of rows doesn't matter."""
+    m = Model(trained=True, jump=jump)
+    pairs: list[tuple[str, str, float, float]] = []
+    found: dict[tuple[str, str], list[float]] = defaultdict(lambda: [0.0, 0.0])
+    for k, s, e, c, n_s, n_e in rows:
+        if k == "L":
+            if s == NULL:
+                m.null[e] = c / n_s
+            else:
+                pairs.append((s, e, c / n_s, c / n_e))
+        elif k == "B":
+            m.bg_e[e] = c / totals["B"]
+        elif k == "R":
+            m.bg_s[s] = c / totals["R"]
+        elif k in ("Ws", "We", "C"):
+            found[k, s][int(e)] += c
+    m.table = Table(pairs)
+    m.loose = frozenset(s for (k, s), (no, yes) in found.items() if k == "C" and no + yes >= 40 and no >= LOOSE * (no + yes))
+    m.rate_s = {s: yes / (no + yes) for (k, s), (no, yes) in found.items() if k == "Ws" and no + yes >= 5}
+    m.rate_e = {s: yes / (no + yes) for (k, s), (no, yes) in found.items() if k == "We" and no + yes >= 5}
+    return m
+
+
+def statistics(counts: DataFrame, least: float, max_entries: int) -> Statistics:
+    """Counts by (k, s, e), pruned: entries below `least` or a chance of 1 in 1,000 given their word, other counts below 2."""
+    got = cut(counts.groupBy("k", "s", "e").agg(F.sum("c").alias("c")).where((F.col("k") != "L") & (F.col("c") >= 2) | (F.col("k") == "L") & (F.col("c") >= least)))
+    lex = got.where("k = 'L'")
+    of_s = lex.groupBy("s").agg(F.sum("c").alias("n_s"))
+    of_e = lex.where(F.col("s") != NULL).groupBy("e").agg(F.sum("c").alias("n_e"))
+    kept = lex.join(of_s, "s").where(F.col("c") >= 1e-3 * F.col("n_s")).join(of_e, "e", "left").select("k", "s", "e", "c", "n_s", "n_e")
+    nothing = F.lit(None).cast("double")
+    rows = cut(kept.unionByName(got.where("k <> 'L'").withColumns({"n_s": nothing, "n_e": nothing})))
+    few = rows.where("k <> 'J'").groupBy("k", F.lit("").alias("e")).agg(F.sum("c").alias("c"), F.count("*").alias("n"))
+    few = few.unionByName(rows.where("k = 'J'").select("k", "e", "c", F.lit(0).cast("long").alias("n"))).collect()  # a row a kind and a jump
+    jumps = np.exp(default_jumps()) * 20
+    for r in few:
+        if r["k"] == "J":
+            jumps[int(r["e"]) + JUMPS] += r["c"]
+    totals = {"B": 1.0, "R": 1.0} | {r["k"]: r["c"] for r in few if r["k"] in ("B", "R")}
+    return Statistics(rows, totals, np.log(jumps / jumps.sum()), sum(r["n"] for r in few), max_entries)
+
+
+def block_statistics(blocks: DataFrame, st: Statistics) -> DataFrame:
+    """(block, STATS): the rows of st that the words and clauses of each block of marked pages need."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen: set[tuple[int, str, str]] = set()
+            for at, *pages in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                for side, page in zip("se", pages, strict=True):
+                    for t in page:
+                        for c in parts_of(t):
+                            seen.add((at, "p", pattern(c)))
+                            seen.update((at, side, w[0] if _special(w) else w) for w in c)
+            rows = list(seen)
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())], names=["block", "side", "w"])
+
+    vocab = cut(blocks.select("block", "es", "eu").mapInArrow(words, "block long, side string, w string").distinct())
+    pair = (F.col("k") == "L") & (F.col("s") != NULL)
+    side = F.when(F.col("k").isin("B", "We") | (F.col("k") == "L"), "e").when(F.col("k") == "C", "p").otherwise("s")
+    word = F.when(F.col("k").isin("B", "L"), F.col("e")).otherwise(F.col("s"))
+    cols = ["block", "k", "s", "e", "c", "n_s", "n_e"]
+    single = st.rows.where(~pair & (F.col("k") != "J")).withColumns({"side": side, "w": word}).join(vocab, ["side", "w"]).select(*cols)
+    src, tgt = vocab.where("side = 's'").select("block", F.col("w").alias("s")), vocab.where("side = 'e'").select("block", F.col("w").alias("e"))
+    return single.unionByName(st.rows.where(pair).join(src, "s").join(tgt, ["block", "e"]).select(*cols))
+
+
+def over_pages(data: DataFrame, st: Statistics | Model, work: Callable[[Iterator[dict], Model], Iterator[pa.RecordBatch]], schema: str, block: int = 2000) -> DataFrame:
+    """What work gives for the rows of data, marked pages, with a model of st: one for all, or one for each block of pages.
+
+    A block holds about `block` rows of ordinary pages; each row of a long page is a block of its own.
+    """
+    spark = data.sparkSession
+    if isinstance(st, Model) or not st.spread():
+        sent = spark.sparkContext.broadcast(st if isinstance(st, Model) else st.model())
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from work((r for b in batches for r in b.to_pylist()), sent.value)
+
+        return data.mapInArrow(run, schema)
+    totals, jump = st.totals, st.jump
+    n = -(-data.count() // block)
+    own = F.xxhash64("pair", "at")
+    data = data.withColumn("block", F.when(F.size("es") + F.size("eu") > 2 * LONG, own).otherwise(F.pmod(own, F.lit(n))))
+
+    def one(pages: pa.Table, rows: pa.Table) -> pa.Table:
+        m = build_model(list(zip(*(rows.column(c).to_pylist() for c in ("k", "s", "e", "c", "n_s", "n_e")), strict=True)), totals, jump)
+        return pa.Table.from_batches(list(work(iter(pages.to_pylist()), m)))
+
+    return data.groupBy("block").cogroup(block_statistics(data, st).groupBy("block")).applyInArrow(one, schema)
+
 
-    Table entries of less weight than `least`, or a chance below 1 in 1,000 given their source word, are left out
-    before anything goes to the driver, as are words, clauses and jumps that occur once; nothing else is.
+def _sum_counts(rows: Iterator[dict], m: Model) -> Iterator[pa.RecordBatch]:
+    total: Counter = Counter()
+
+    def batch() -> pa.RecordBatch:
+        keys = list(total)
+        return pa.RecordBatch.from_arrays([*(pa.array([k[i] for k in keys], pa.string()) for i in range(3)), pa.array([float(total[k]) for k in keys], pa.float64())], names=["k", "s", "e", "c"])
+
+    for r in rows:
+        p = pages_of(r["es"], r["eu"], m, r["at"], r["of"])
+        p.counts(p.decode(), total)
+        if len(total) > 200_000:  # summed up by Spark, so a task may give its counts in parts
+            yield batch()
+            total.clear()
+    yield batch()
+
+
+def train(pairs: DataFrame, rounds: int = 5, max_train: int | None = None, least: float = 0.05, max_entries: int = 1_000_000) -> Statistics | Model:
+    """What was learned in so many rounds over all page pairs, or over max_train of them (those of lowest hash).
+
+    Table entries of less weight than `least`, or a chance below 1 in 1,000 given their source word, are left out, as are
+    words, clauses and jumps that occur once; nothing else is. The table stays in Spark; see Statistics for max_entries.
     """
     spark = pairs.sparkSession
     if max_train is not None:
         pairs = lowest(pairs.withColumn("_h", F.xxhash64("pair", F.col("eu_ids")[0])), "_h", max_train)
-    data = cut(pairs.select("es", "eu", "at", "of").repartition(max(2, spark.sparkContext.defaultParallelism, pairs.rdd.getNumPartitions())))
-    model = Model()
+    data = cut(mark_pairs(pairs).select("pair", "es", "eu", "at", "of").repartition(max(2, spark.sparkContext.defaultParallelism, pairs.rdd.getNumPartitions())))
+    model: Statistics | Model = Model()
     for _ in range(rounds):
-        sent = spark.sparkContext.broadcast(model)
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            total: Counter = Counter()
-
-            def batch() -> pa.RecordBatch:
-                keys = list(total)
-                return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.string()), pa.array([float(total[k]) for k in keys], pa.float64())], names=["k", "s", "e", "c"])
-
-            for b in batches:
-                for es, eu, at, of in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
-                    p = pages_of(es, eu, sent.value, at, of)
-                    total.update(p.counts(p.decode()))
-                    if len(total) > 200_000:  # summed up by Spark, so a task may give its counts in parts
-                        yield batch()
-                        total.clear()
-            yield batch()
-
-        got = data.mapInArrow(run, "k string, s string, e string, c double").groupBy("k", "s", "e").agg(F.sum("c").alias("c"))
-        got = cut(got.where((F.col("k") != "L") & (F.col("c") >= 2) | (F.col("k") == "L") & (F.col("c") >= least)))
-        lex = got.where("k = 'L'")
-        of_s = lex.groupBy("s").agg(F.sum("c").alias("n_s"))
-        of_e = lex.where(F.col("s") != NULL).groupBy("e").agg(F.sum("c").alias("n_e"))
-        kept = lex.join(of_s, "s").where(F.col("c") >= 1e-3 * F.col("n_s")).join(of_e, "e", "left").select("k", "s", "e", "c", "n_s", "n_e")
-        nothing = F.lit(None).cast("double")
-        rows = kept.unionByName(got.where("k <> 'L'").withColumns({"n_s": nothing, "n_e": nothing})).orderBy(F.desc("c"), "k", "s", "e").collect()
-        sent.destroy()
-        m = Model(trained=True)
-        n_e = sum(r["c"] for r in rows if r["k"] == "B") or 1.0
-        n_s = sum(r["c"] for r in rows if r["k"] == "R") or 1.0
-        jumps = np.exp(default_jumps()) * 20
-        found: dict[tuple[str, str], list[float]] = defaultdict(lambda: [0.0, 0.0])
-        for r in rows:
-            k, s, e, c = r["k"], r["s"], r["e"], r["c"]
-            if k == "L":
-                m.forward.setdefault(s, {})[e] = c / r["n_s"]
-                m.backward.setdefault(s, {})[e] = c / r["n_e"] if s != NULL else 0.0
-            elif k == "B":
-                m.bg_e[e] = c / n_e
-            elif k == "R":
-                m.bg_s[s] = c / n_s
-            elif k in ("Ws", "We", "C"):
-                found[k, s][int(e)] += c
-            else:
-                jumps[int(e) + JUMPS] += c
-        m.loose = frozenset(s for (k, s), (no, yes) in found.items() if k == "C" and no + yes >= 40 and no >= LOOSE * (no + yes))
-        m.rate_s = {s: yes / (no + yes) for (k, s), (no, yes) in found.items() if k == "Ws" and no + yes >= 5}
-        m.rate_e = {s: yes / (no + yes) for (k, s), (no, yes) in found.items() if k == "We" and no + yes >= 5}
-        m.jump = np.log(jumps / jumps.sum())
-        model = m
+        model = statistics(over_pages(data, model, _sum_counts, "k string, s string, e string, c double"), least, max_entries)
     return model
 
 
-def align(pairs: DataFrame, model: Model, null_per_word: float = 1.2, least_hit: float = 0.5) -> DataFrame:
+def align(pairs: DataFrame, model: Statistics | Model, null_per_word: float = 1.2, least_hit: float = 0.5) -> DataFrame:
     """(pair, es_id, eu_id, score): aligned sentences; score is the mean log-likelihood ratio of the target's words.
 
     A pair is kept if at least least_hit of the words of one side are explained by the other.
     """
-    sent = pairs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for b in batches:
+    def work(rows: Iterator[dict], m: Model) -> Iterator[pa.RecordBatch]:
+        for few in iter(lambda: list(islice(rows, 64)), []):
             out = []
-            for pid, ei, es, ui, eu, at, of in zip(*(b.column(k).to_pylist() for k in range(7)), strict=True):
-                p = pages_of(es, eu, m, at, of)
+            for r in few:
+                p = pages_of(r["es"], r["eu"], m, r["at"], r["of"])
                 for i, j, s in p.decode(null_per_word):
                     if not m.trained or p.hit(i, j) >= least_hit:
-                        out.append((pid, ei[i], ui[j], s))
+                        out.append((r["pair"], r["es_ids"][i], r["eu_ids"][j], s))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64()))], names=["pair", "es_id", "eu_id", "score"])
 
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("pair", "es_id", "eu_id")] + [T.StructField("score", T.DoubleType())])
-    return pairs.select("pair", "es_ids", "es", "eu_ids", "eu", "at", "of").mapInArrow(run, schema)
+    return over_pages(mark_pairs(pairs), model, work, "pair long, es_id long, eu_id long, score double")
 
 
 def found_pairs(aligned: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from folium.session import cut, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _pairs(spark: SparkSession, d: str) -> tuple[DataFrame, alignment.Model]:
+def _pairs(spark: SparkSession, d: str) -> tuple[DataFrame, alignment.Statistics]:
     pairs = cut(alignment.page_pairs(table(spark, d, "bulletin_index"), table(spark, d, "bulletin_sentences")))
     return pairs, alignment.train(pairs)
 

@@ -68,13 +68,22 @@ def test_tokens_and_clauses():
     assert [al.pattern(c) for c in al.clauses("Uno, con 31 votos; salvo en Ardoza", {"Ardoza"})] == ["uno", "con # votos", "salvo en @"]
 
 
+def test_table_parts():
+    t = al.Table([("b", "y", 0.5, 0.25), ("a", "x", 0.75, 1.0), ("b", "x", 0.125, 0.5)])
+    f, b = t.part(["a", "c", "b"], ["z", "y", "x"])
+    assert f.tolist() == [[0, 0, 0.75], [0, 0, 0], [0, 0.5, 0.125]] and b.tolist() == [[0, 0, 1.0], [0, 0, 0], [0, 0.25, 0.5]]
+    assert (t.column == -1).all() and t.part([], ["x"])[0].shape == (0, 1) and al.Table().part(["a"], ["x"])[0].tolist() == [[0]]
+
+
 def test_edges(spark):
     i = spark.createDataFrame([], "url_es string, url_eu string")
     s = spark.createDataFrame([], "sent_id long, url string, language string, para_no int, sent_no int, content string")
     p = al.page_pairs(i, s)
     assert al.found_pairs(al.align(p, al.train(p, rounds=2))).isEmpty()
     assert al.Pages([], ["x"], al.Model()).decode() == [] and al.Pages(["uno"], [], al.Model()).decode() == []
-    assert al.Pages(["uno 5 casa"], ["etxe 5"], al.Model()).decode() == [(0, 0, al.Pages(["uno 5 casa"], ["etxe 5"], al.Model()).scores()[0, 0] / 2)]
+    p = al.Pages(*al.marked(["uno 5 casa"], ["etxe 5"]), al.Model())
+    assert p.decode() == [(0, 0, p.scores()[0, 0] / 2)] and p.S == [["uno", "#5", "casa"]]
+    assert [al.parts_of(x) for x in al.marked(["Uno, dos 3; 4"], ["..."])[0]] == [[["uno"], ["dos", "#3"], ["#4"]]] and al.parts_of("") == [[]]
 
 
 def test_far_counterparts_on_long_pages_are_found(spark):
@@ -101,7 +110,8 @@ def test_tiles_give_the_same_as_whole_pages(spark):
         eu += [r[5] for r in b if r[2] == "eu"]
     other = [r for k in range(100) for r in bulletin(rng, k)[0]]
     model = al.train(al.page_pairs(spark.createDataFrame([(f"es{k}", f"eu{k}") for k in range(100)], "url_es string, url_eu string"), spark.createDataFrame(other, "sent_id long, url string, language string, para_no int, sent_no int, content string")))
-    for m in (al.Model(), model):
+    es, eu = al.marked(es, eu)
+    for m in (al.Model(), model.model()):
         whole, tiled = al.Pages(es, eu, m), al.LongPages(es, eu, m, tile=7, cells=500)
         a, b = whole.decode(), tiled.decode()
         assert [x[:2] for x in a] == [x[:2] for x in b] and max(abs(x[2] - y[2]) for x, y in zip(a, b, strict=True)) < 1e-9
@@ -115,5 +125,18 @@ def test_all_page_pairs_count(spark):
     text = [(f"El perro ladra en {k} metros.", f"{k} metrotan zakurra da.") for k in range(3200)]
     pairs = spark.createDataFrame([(k, [2 * k], [a], [2 * k + 1], [b], 0, 1) for k, (a, b) in enumerate(text)], "pair long, es_ids array<long>, es array<string>, eu_ids array<long>, eu array<string>, at long, of long")
     rare = spark.createDataFrame([(9000 + k, [9000 + 2 * k], [f"Sol {w}."], [9001 + 2 * k], [f"Eguzki {w}."], 0, 1) for k, w in enumerate(["ardo", "ardo"])], pairs.schema)
-    model = al.train(pairs.unionByName(rare), rounds=1)
-    assert round(model.bg_s["#"] / model.bg_s["ardo"]) == 1600 and "ardo" in model.forward
+    model = al.train(pairs.unionByName(rare), rounds=1).model()
+    assert round(model.bg_s["#"] / model.bg_s["ardo"]) == 1600 and "ardo" in model.table.source
+
+
+def test_a_divided_table_gives_the_same(spark):
+    rng = random.Random(6)
+    sents = [r for k in range(40) for r in bulletin(rng, k)[0]]
+    idx = spark.createDataFrame([(f"es{k}", f"eu{k}") for k in range(40)], "url_es string, url_eu string")
+    pairs = al.page_pairs(idx, spark.createDataFrame(sents, "sent_id long, url string, language string, para_no int, sent_no int, content string")).cache()
+    one, many = al.train(pairs, rounds=3), al.train(pairs, rounds=3, max_entries=0)
+    assert many.spread() and not one.spread()
+    a, b = one.model(), many.model()
+    assert a.table.source.keys() == b.table.source.keys() and len(a.table.f) == len(b.table.f) and a.loose == b.loose and all(abs(a.rate_s[w] - b.rate_s[w]) < 1e-9 for w in a.rate_s)
+    assert rows(al.found_pairs(al.align(pairs, one))) == rows(al.found_pairs(al.align(pairs, many)))
+    assert al.found_pairs(al.align(pairs.where("pair is null"), many)).isEmpty()
