@@ -155,7 +155,10 @@ class Editor:
     options: dict[str, list[str]]
 
     def proposals(self, s: str, edits: int = 2, beam: int = 40) -> list[tuple[str, float, int]]:
-        """(string, gain, edits): what s may stand for, other than itself; gain is the score against keeping all."""
+        """(string, gain, edits): what s may stand for, other than itself; gain is the score against keeping all.
+
+        All single edits are there; of those of more edits the `beam` best are followed.
+        """
         states: dict[tuple[str, int, bool], float] = {("", 0, False): 0.0}
         for i, c in enumerate(s):
             opts = self.options.get(c)
@@ -181,8 +184,9 @@ class Editor:
                         key, gain = (t + o[8:], n + 1, True), sc[o] - base
                     if v + gain > nxt.get(key, -1e9):
                         nxt[key] = v + gain
-            if len(nxt) > beam:
-                nxt = dict(sorted(nxt.items(), key=lambda x: -x[1])[:beam])
+            if sum(k[1] > 1 for k in nxt) > beam:
+                few = sorted((x for x in nxt.items() if x[0][1] > 1), key=lambda x: -x[1])[:beam]
+                nxt = {k: v for k, v in nxt.items() if k[1] < 2} | dict(few)
             states = nxt
         out: dict[str, tuple[float, int]] = {}
         for (t, n, _), v in states.items():
@@ -300,17 +304,26 @@ def unique_blocks(blocks: DataFrame) -> DataFrame:
 def placed_blocks(blocks: DataFrame, chunk: int = 4096) -> DataFrame:
     """blocks with page_key (the page, or half a page after the last known one where it is null), top and bottom ranks.
 
-    The last known page before a block is carried over chunks of block_ids, so a file of any size is spread over tasks.
+    The last known page before a block and the places on a page are carried over chunks of block_ids, so a file or a page
+    of any size is spread over tasks. A null file is one file.
     """
     b = blocks.withColumn("_c", F.floor(F.col("block_id") / chunk))
-    ends = b.where("page IS NOT NULL").groupBy("file", "_c").agg(F.max_by("page", "block_id").alias("last"))
-    spread = b.select("file", "_c").distinct().join(ends, ["file", "_c"], "left")
+    spread = b.groupBy("file", "_c").agg(F.max_by("page", F.when(F.col("page").isNotNull(), F.col("block_id"))).alias("last"))
     carry = spread.select("file", "_c", F.last("last", ignorenulls=True).over(Window.partitionBy("file").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
     w = Window.partitionBy("file", "_c").orderBy("block_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    b = b.withColumn("_seen", F.last("page", ignorenulls=True).over(w)).join(carry, ["file", "_c"], "left")
-    b = b.withColumn("page_key", F.coalesce(F.col("page").cast("double"), F.coalesce("_seen", "before", F.lit(0)) + 0.5)).drop("_c", "_seen", "before")
+    carry = carry.toDF("_f", "_d", "before")
+    b = b.withColumn("_seen", F.last("page", ignorenulls=True).over(w)).join(carry, F.col("file").eqNullSafe(F.col("_f")) & (F.col("_c") == F.col("_d")), "left").drop("_f", "_d")
+    b = b.withColumn("page_key", F.coalesce(F.col("page").cast("double"), F.coalesce("_seen", "before", F.lit(0)) + 0.5)).drop("_seen", "before")
+    # places on the page, counted within a chunk and over the chunks before and after
+    part = Window.partitionBy("file", "page_key", "_c")
+    b = b.withColumns({"_up": F.row_number().over(part.orderBy("block_id")), "_n": F.count("*").over(part)})
     page = Window.partitionBy("file", "page_key")
-    return b.withColumns({"top": F.row_number().over(page.orderBy("block_id")), "bottom": F.row_number().over(page.orderBy(F.desc("block_id")))})
+    sizes = b.where("_up = 1").select("file", "page_key", "_c", "_n")
+    before = F.coalesce(F.sum("_n").over(page.orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(F.col("file").alias("_f"), F.col("page_key").alias("_p"), F.col("_c").alias("_d"), before.alias("_before"), F.sum("_n").over(page).alias("_all"))
+    b = b.join(sizes, F.col("file").eqNullSafe(F.col("_f")) & (F.col("page_key") == F.col("_p")) & (F.col("_c") == F.col("_d")))
+    top = F.col("_before") + F.col("_up")
+    return b.withColumns({"top": top.cast("int"), "bottom": (F.col("_all") - top + 1).cast("int")}).drop("_c", "_up", "_n", "_f", "_p", "_d", "_before", "_all")
 
 
 EDGE = "goes_on boolean, block_id long, file string, page int, page_key double, role string, block_type string, top int, bottom int, line_no int, place string, text string, key string, form string, number int"
@@ -319,7 +332,8 @@ EDGE = "goes_on boolean, block_id long, file string, page int, page_key double,
 def edge_lines(placed: DataFrame) -> DataFrame:
     """First and last line of every block but tables, with what tells furniture: see EDGE. place: only, first, last.
 
-    key is how the line begins, since running headers may end in a figure or the section's name.
+    key is how the line begins, since running headers may end in a figure or the section's name. A line of more than
+    LONGEST characters is no furniture.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +355,7 @@ def edge_lines(placed: DataFrame) -> DataFrame:
                         edge.add(real[1])
                 for i in sorted(edge):
                     t = lines[i].strip()
-                    if len(t) > 120:
+                    if len(t) > LONGEST:
                         continue
                     f = number_form(t)
                     nxt = lines[i + 1].lstrip()[:1] if i + 1 < len(lines) else ""
@@ -497,28 +511,34 @@ def block_words(blocks: DataFrame) -> DataFrame:
     return blocks.select("block_id", "content", "skip").mapInArrow(run, WORDS)
 
 
-def proposals(types: DataFrame, editor: Editor, most: int = 48) -> DataFrame:
-    """(word, cand, key, gain, edits, n_word): what the editor proposes for each distinct word, the best `most`."""
+#: Longer words are judged by single edits only; tokens longer than LONGEST are no words of a language.
+LONG, LONGEST = 60, 200
+
+
+def proposals(types: DataFrame, editor: Editor) -> DataFrame:
+    """(word, cand, key, gain, edits, n_word): what the editor proposes for each distinct word, all single edits included."""
     sent = types.sparkSession.sparkContext.broadcast(editor)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = sent.value
-        for b in batches:
-            w, c, k, g, d, n = [], [], [], [], [], []
-            for word, cnt in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if len(word) > 60:
-                    continue
-                got = e.proposals(word)
-                first = word[0]
-                more = [(x[0].upper() + x[1:], y, z) for x, y, z in got if x[0].islower() and not first.isalpha() and len(x) > 1]  # a figure or sign has no case
-                for x, y, z in sorted(got + more, key=lambda x: x[2])[: most * 2]:
-                    d.append(z)
-                    w.append(word)
-                    c.append(x)
-                    k.append(word_key(x))
-                    g.append(y)
-                    n.append(cnt)
-            yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(c, pa.string()), pa.array(k, pa.string()), pa.array(g, pa.float64()), pa.array(d, pa.int32()), pa.array(n, pa.int64())], names=["word", "cand", "key", "gain", "edits", "n_word"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                b = whole.slice(at, 1024)
+                w, c, k, g, d, n = [], [], [], [], [], []
+                for word, cnt in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    if len(word) > LONGEST:
+                        continue
+                    got = e.proposals(word, 2 if len(word) <= LONG else 1)
+                    if not word[0].isalpha():  # a figure or sign has no case
+                        got += [(x[0].upper() + x[1:], y, z) for x, y, z in got if x[0].islower() and len(x) > 1]
+                    for x, y, z in got:
+                        d.append(z)
+                        w.append(word)
+                        c.append(x)
+                        k.append(word_key(x))
+                        g.append(y)
+                        n.append(cnt)
+                yield pa.RecordBatch.from_arrays([pa.array(w, pa.string()), pa.array(c, pa.string()), pa.array(k, pa.string()), pa.array(g, pa.float64()), pa.array(d, pa.int32()), pa.array(n, pa.int64())], names=["word", "cand", "key", "gain", "edits", "n_word"])
 
     return types.select("word", "n").mapInArrow(run, "word string, cand string, key string, gain double, edits int, n_word long")
 
@@ -544,8 +564,8 @@ def find_noise(blocks: DataFrame, *, ratio: float = 10.0, least: int = 4, max_wo
     """Everything that is wrong with the blocks: see Repair.
 
     Rows delivered twice count once. Null, empty and blank contents have nothing to find; a null page or file only
-    weakens the evidence about lines. A word is misread if a proposal's word occurs at least `ratio` times as often and
-    at least `least` times.
+    weakens the evidence about lines. A word is misread if a proposal's word occurs at least `ratio` times as often, for
+    each edit once more, and at least `least` times.
     """
     once = cut(unique_blocks(blocks))
     evidence = cut(with_evidence(edge_lines(placed_blocks(once))))
@@ -575,7 +595,7 @@ def find_noise(blocks: DataFrame, *, ratio: float = 10.0, least: int = 4, max_wo
     figure = cand.rlike(r"^[\p{Nd}.,:/%×+\-]*$")
     enough = F.when(figure, F.when(word.rlike(r"\p{Nd}"), F.col("n_cand") >= F.col("n_word")).otherwise((F.length("word") == 1) & (F.col("n_cand") >= 300 * F.col("n_word"))))
     enough = enough.when(odd, F.col("n_cand") >= F.col("n_word"))
-    enough = enough.otherwise((F.col("n_cand") >= least) & (F.col("edits") == 1) & (F.col("n_cand") >= ratio * F.col("n_word")))
+    enough = enough.otherwise((F.col("n_cand") >= least) & (F.col("n_cand") >= F.pow(F.lit(ratio), F.col("edits")) * F.col("n_word")))
     got = got.where(enough)
     mended = cut(got.groupBy("word").agg(F.max(score).alias("b")).select("word", F.col("b.cand").alias("fixed")))
     chars = words.where("kind = 'word'").join(mended, "word").select("block_id", "line_no", "word", "fixed")
@@ -598,7 +618,7 @@ def join_divided(parts: DataFrame, editor: Editor, lexicon: DataFrame, exact: Da
             w, r, c, k, g = [], [], [], [], []
             for left, right in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for n, (x, y) in enumerate(e.joins(left, right)):
-                    more = [(z, min(v, 0.0) - 8.0) for z, v, _ in e.proposals(x, 1)[:24]] if len(x) <= 60 else []
+                    more = [(z, min(v, 0.0) - 8.0) for z, v, _ in e.proposals(x, 1)] if len(x) <= LONGEST else []
                     for z, v in [(x, max(y, -2.0)), *more]:
                         w.append(left)
                         r.append(right)

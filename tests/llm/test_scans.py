@@ -96,6 +96,33 @@ def test_averaged_perceptron_learns():
     assert all(max(s, key=s.get) == y for f, labs, y in data for s in [m.score(f, labs)])
 
 
+def test_all_single_edits_are_proposed():
+    opts = {"l": [sc.KEEP, "replace i", "replace h", sc.DROP], "i": [sc.KEEP, "replace l", "replace n", sc.DROP], "r": [sc.KEEP, "replace m"], "n": [sc.KEEP, sc.DROP]}
+    e = sc.Editor(sc.Perceptron(), opts)
+    for s in ("lilrnlilirnilliril" * 3, "rn", "x", ""):
+        want = set()
+        for i, c in enumerate(s):
+            for o in opts.get(c, ()):
+                if o.startswith("replace"):
+                    want.add(s[:i] + o[8:] + s[i + 1 :])
+                    if i + 1 < len(s) and sc.DROP in opts.get(s[i + 1], ()):
+                        want.add(s[:i] + o[8:] + s[i + 2 :])
+        got = e.proposals(s)
+        assert {t for t, _, n in got if n == 1} == want - {s}
+        assert e.proposals(s, 1) == [x for x in got if x[2] == 1]
+
+
+def test_places_on_pages_of_many_chunks(spark):
+    rng = random.Random(8)
+    data = [(k, rng.choice(["a", "b", None]), rng.choice([1, 1, None, 2]) if k > 40 else None) for k in range(300)]
+    got = {r["block_id"]: (r["page_key"], r["top"], r["bottom"]) for r in sc.placed_blocks(spark.createDataFrame(data, "block_id long, file string, page int"), chunk=16).collect()}
+    last, pages_ = {}, {}
+    for k, f, p in data:
+        last[f] = p if p is not None else last.get(f)
+        pages_.setdefault((f, float(p) if p is not None else (last[f] or 0) + 0.5), []).append(k)
+    assert got == {k: (key[1], i + 1, len(ks) - i) for key, ks in pages_.items() for i, k in enumerate(ks)}
+
+
 def test_edges(spark):
     d = table(spark, TINY, "ocr_blocks")
     assert sc.find_noise(d.limit(0)).found().isEmpty()
