@@ -565,7 +565,7 @@ def find_noise(blocks: DataFrame, *, ratio: float = 10.0, least: int = 4, max_wo
 
     Rows delivered twice count once. Null, empty and blank contents have nothing to find; a null page or file only
     weakens the evidence about lines. A word is misread if a proposal's word occurs at least `ratio` times as often, for
-    each edit once more, and at least `least` times.
+    each edit once more, and at least `least` times; two edits also need a word of eight letters.
     """
     once = cut(unique_blocks(blocks))
     evidence = cut(with_evidence(edge_lines(placed_blocks(once))))
@@ -595,7 +595,7 @@ def find_noise(blocks: DataFrame, *, ratio: float = 10.0, least: int = 4, max_wo
     figure = cand.rlike(r"^[\p{Nd}.,:/%×+\-]*$")
     enough = F.when(figure, F.when(word.rlike(r"\p{Nd}"), F.col("n_cand") >= F.col("n_word")).otherwise((F.length("word") == 1) & (F.col("n_cand") >= 300 * F.col("n_word"))))
     enough = enough.when(odd, F.col("n_cand") >= F.col("n_word"))
-    enough = enough.otherwise((F.col("n_cand") >= least) & (F.col("n_cand") >= F.pow(F.lit(ratio), F.col("edits")) * F.col("n_word")))
+    enough = enough.otherwise((F.col("n_cand") >= least) & (F.col("n_cand") >= F.pow(F.lit(ratio), F.col("edits")) * F.col("n_word")) & ((F.col("edits") == 1) | (F.length("word") >= 4 * F.col("edits"))))
     got = got.where(enough)
     mended = cut(got.groupBy("word").agg(F.max(score).alias("b")).select("word", F.col("b.cand").alias("fixed")))
     chars = words.where("kind = 'word'").join(mended, "word").select("block_id", "line_no", "word", "fixed")
