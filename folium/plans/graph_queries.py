@@ -193,9 +193,10 @@ def graph_repeated_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def graph_metadata(spark: SparkSession, d: str) -> DataFrame:
-    """Edges in all and by type, as a map."""
-    n = graph.nodes(jsontree.tree_rows(order_documents(spark, d)))
-    return graph.metadata(n, _edges(spark, d))[1]
+    """What goes beside the tables: nodes in all and their columns (of the orders' trees), edges in all and by type, as text."""
+    n, e = graph.metadata(graph.nodes(jsontree.tree_rows(order_documents(spark, d))), _edges(spark, d))
+    types = F.array_join(F.transform(F.map_entries("relationship_types"), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), ", ")
+    return n.crossJoin(e).select("total_nodes", F.array_join("columns", ", ").alias("columns"), "total_relationships", types.alias("relationship_types"))  # one row each
 
 
 _WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -237,6 +238,12 @@ SQL = {
     "tree_edges_per_source": _TREE + "SELECT 'order-' || k AS source, count(*) AS n FROM n WHERE parent IS NOT NULL GROUP BY ALL",
     "tree_labels": _TREE + "SELECT label, count(*) AS n, round(count(*) * 100e0 / sum(count(*)) OVER (), 4) AS percent FROM n GROUP BY label",
     "tree_relations": _TREE + "SELECT 'ROOT' AS parent_node, 'lines' AS child_node, 'lines' AS json_path, count(*) AS n FROM o HAVING count(*) > 0",
+    "tree_schema": _TREE + """, t AS (SELECT count(*) AS n FROM o), x(json_path, type, required) AS (VALUES ('$', 'object', false), ('$.o_orderkey', 'integer', true), ('$.o_orderstatus', 'string', true), ('$.customer', 'object', true), ('$.customer.c_name', 'string', true),
+        ('$.customer.c_mktsegment', 'string', true), ('$.tags', 'array', true), ('$.tags[]', 'string', false), ('$.lines', 'array', true), ('$.lines[]', 'object', false), ('$.lines[].l_linenumber', 'integer', true), ('$.lines[].l_returnflag', 'string', true), ('$.lines[].l_quantity', 'number', true))
+        SELECT json_path, type, n AS documents, required FROM x, t""",
+    "graph_metadata": _TREE + """, m AS (SELECT coalesce(nullif(trim(type), ''), 'TIENE') AS type, count(*) AS n FROM relations GROUP BY ALL)
+        SELECT (SELECT count(*) FROM n) AS total_nodes, 'id, label, name, source, type, path, depth, length, prop_c_mktsegment, prop_c_name, prop_l_linenumber, prop_l_quantity, prop_l_returnflag' AS columns,
+        (SELECT CAST(sum(n) AS BIGINT) FROM m) AS total_relationships, (SELECT string_agg(type || '=' || n, ', ' ORDER BY type) FROM m) AS relationship_types""",
     "tree_events": "SELECT CAST(event_id AS VARCHAR) AS source, 'prop_' || key AS name, props::JSON ->> key AS value FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)",
     "graph_consolidated": "SELECT id, label, name, source, type, path FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at NULLS FIRST, name NULLS FIRST, source NULLS FIRST, label NULLS FIRST, type NULLS FIRST, path NULLS FIRST) AS r FROM graph_nodes) WHERE r = 1",
     "graph_upserted": "SELECT id, label, name, source, type, path, try_cast(depth AS INTEGER) AS depth, try_cast(length AS INTEGER) AS length FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC NULLS LAST, name DESC NULLS LAST, source DESC NULLS LAST, label DESC NULLS LAST, type DESC NULLS LAST, path DESC NULLS LAST) AS r FROM graph_nodes) WHERE r = 1 AND id IS NOT NULL",
