@@ -14,6 +14,7 @@ bin or so and doesn't grow with the number of shards.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +33,11 @@ class Limits:
     items: int | None = None
     cost: int | None = None
 
+    @property
+    def piece(self) -> int:
+        """The longest item that an empty container holds."""
+        return self.tokens if self.cost is None else min(self.tokens, math.isqrt(self.cost))
+
     def vector(self) -> np.ndarray:
         t = self.tokens
         return np.array([t, t if self.items is None else self.items, t * t if self.cost is None else self.cost], dtype=np.int64)
@@ -89,41 +95,53 @@ def pack_sizes(sizes: np.ndarray, limits: Limits, rule: str = "norm", weights: t
 
 def pack(
     items: DataFrame, containers: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", *,
-    shard_rows: int = 50_000, rule: str = "norm", loose: float = 0.98, retry_bins: int = 32, fan_in: int = 32, items_limit: dict[str, int] | None = None, cost_limit: dict[str, int] | None = None, n_items: int | None = None,
+    shard_rows: int = 50_000, rule: str = "norm", loose: float = 0.98, retry_bins: int = 32, fan_in: int = 32, items_limit: dict[str, int] | None = None, cost_limit: dict[str, int] | None = None,
 ) -> DataFrame:
     """(container_kind, capacity, bin, id_col, piece, start_token, n_tokens): where each item lies.
 
     items: one row an item; containers: container_kind, capacity_tokens (a few rows, broadcast). Only an item longer
-    than the capacity is divided, into pieces of the whole capacity and a rest. Items of size 0 or null take no room
-    and have no row; a null id is packed like any other; repeated rows are items of their own. Containers whose
-    capacity is null or below 1 are left out. bin is unique within a container_kind. items_limit and cost_limit give
-    capacities of the other two dimensions by container_kind; a piece too costly for any bin ends the query.
-    A shard gives at most its retry_bins loosest bins to the next round; the others stay as they are.
+    than an empty container holds is divided, into pieces of that length and a rest. Items of size 0 or null take no
+    room and have no row; a null id is packed like any other; repeated rows are items of their own. Containers whose
+    capacity is null or below 1 are left out, as are those of a limit below 1. bin is unique within a container_kind.
+    items_limit and cost_limit give capacities of the other two dimensions by container_kind. Shards are made for the
+    pieces there are. A shard gives at most its retry_bins loosest bins to the next round; the others stay as they are.
     """
     spark = items.sparkSession
     it, cl = items_limit or {}, cost_limit or {}
     boxes = [(r["container_kind"], int(r["capacity_tokens"])) for r in containers.select("container_kind", "capacity_tokens").where("capacity_tokens >= 1").distinct().collect()]
-    limits = {k: Limits(c, it.get(k), cl.get(k)) for k, c in boxes}
-    kinds = spark.createDataFrame(boxes or [("", 1)], "container_kind string, capacity long").where(F.lit(bool(boxes)))
-    n = items.count() if n_items is None else n_items
+    limits = {k: Limits(c, it.get(k), cl.get(k)) for k, c in boxes if it.get(k, 1) >= 1 and cl.get(k, 1) >= 1}
+    rows = [(k, c, limits[k].piece) for k, c in boxes if k in limits]
+    kinds = spark.createDataFrame(rows or [("", 1, 1)], "container_kind string, capacity long, _most long").where(F.lit(bool(rows)))
     id_type = items.schema[id_col].dataType.simpleString()
     sized = items.select(F.col(id_col).alias("_id"), F.col(size_col).cast("long").alias("_n")).where("_n > 0")
     pieces = (
         sized.crossJoin(F.broadcast(kinds))  # a handful of containers, each item once for every one of them
-        .withColumn("piece", F.explode(F.expr("sequence(0L, (_n - 1) div capacity)")))
-        .select("container_kind", "capacity", "_id", "piece", (F.col("piece") * F.col("capacity")).alias("start_token"), F.least(F.col("capacity"), F.col("_n") - F.col("piece") * F.col("capacity")).alias("n_tokens"))
+        .withColumn("piece", F.explode(F.expr("sequence(0L, (_n - 1) div _most)")))
+        .select("container_kind", "capacity", "_id", "piece", (F.col("piece") * F.col("_most")).alias("start_token"), F.least(F.col("_most"), F.col("_n") - F.col("piece") * F.col("_most")).alias("n_tokens"))
     )
+    least = min((r[2] for r in rows), default=1)  # the kind with the most pieces
+    n = sized.agg(F.coalesce(F.sum(F.expr(f"(_n - 1) div {least} + 1")), F.lit(0))).first()[0]
     out_schema = f"container_kind string, capacity long, bin long, _id {id_type}, piece long, start_token long, n_tokens long, _again boolean"
 
+    def nearly_full(used: np.ndarray, b: np.ndarray, sizes: np.ndarray, lim: Limits) -> np.ndarray:
+        """Bins nearly full in one of their capacities."""
+        full = used >= loose * lim.tokens
+        if lim.items is not None:
+            full |= np.bincount(b) >= loose * lim.items
+        if lim.cost is not None:
+            full |= np.bincount(b, weights=sizes.astype(float) ** 2) >= loose * lim.cost
+        return full
+
     def packer(stride: int):
         def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             kind, shard = key[0], int(key[1])
             rows = rows.sort_values(["_id", "piece", "n_tokens"], kind="stable", ignore_index=True)
-            b = pack_sizes(rows["n_tokens"].to_numpy(np.int64), limits[kind], rule)
+            sizes = rows["n_tokens"].to_numpy(np.int64)
+            b = pack_sizes(sizes, limits[kind], rule)
             used = np.bincount(b, weights=rows["n_tokens"])
             again = np.zeros(len(used), dtype=bool)
             again[np.argsort(used, kind="stable")[:retry_bins]] = True
-            rows["_again"] = (again & (used < loose * limits[kind].tokens))[b]
+            rows["_again"] = (again & ~nearly_full(used, b, sizes, limits[kind]))[b]
             rows["bin"] = b * stride + shard
             return rows[["container_kind", "capacity", "bin", "_id", "piece", "start_token", "n_tokens", "_again"]]
 
@@ -134,7 +152,9 @@ def pack(
     todo = pieces
     while True:
         key = F.pmod(F.xxhash64(F.col("_id"), F.col("piece")), F.lit(shards))
-        packed = todo.withColumn("_shard", key).groupBy("container_kind", "_shard").applyInPandas(packer(shards), out_schema)
+        # a number of partitions of its own, as small partitions would be put together though each costs much
+        tasks = max(1, min(shards * max(1, len(rows)), 4 * spark.sparkContext.defaultParallelism))
+        packed = todo.withColumn("_shard", key).repartition(tasks, "container_kind", "_shard").groupBy("container_kind", "_shard").applyInPandas(packer(shards), out_schema)
         if shards == 1:
             last = packed.withColumn("bin", F.col("bin") * 64 + base)
             done = last if done is None else done.unionByName(last)

@@ -91,9 +91,14 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_packing(spark: SparkSession, d: str) -> DataFrame:
     """Which container each text lies in, for each kind of container."""
-    docs = table(spark, d, "documents")
-    sizes = cut(tokens.count_tokens(docs))
-    return packing.pack(sizes, table(spark, d, "containers"), n_items=docs.count())
+    return packing.pack(cut(tokens.count_tokens(table(spark, d, "documents"))), table(spark, d, "containers"))
+
+
+def p9_limited(spark: SparkSession, d: str) -> DataFrame:
+    """The same where texts and attention cost are limited too: a text for each 128 tokens of room, half the cost of one text that fills it."""
+    boxes = table(spark, d, "containers")
+    room = {r[0]: int(r[1]) for r in boxes.select("container_kind", "capacity_tokens").where("capacity_tokens >= 1").collect()}  # a few rows
+    return packing.pack(cut(tokens.count_tokens(table(spark, d, "documents"))), boxes, items_limit={k: max(1, c // 128) for k, c in room.items()}, cost_limit={k: max(1, c * c // 2) for k, c in room.items()})
 
 
 def p9_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -107,7 +112,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    every = (p1_found, p3_found, p3_paragraphs, p5_found, p5_canonical, p5_report, p6_found, p6_composition, p7_found, p7_documents, p8_ids, p9_packing, p9_fill, p10_found)
+    every = (p1_found, p3_found, p3_paragraphs, p5_found, p5_canonical, p5_report, p6_found, p6_composition, p7_found, p7_documents, p8_ids, p9_packing, p9_limited, p9_fill, p10_found)
     return {f.__name__: f for f in every}
 
 

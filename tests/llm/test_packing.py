@@ -78,6 +78,29 @@ def test_distributed(spark, shard_rows):
     assert set(rep) == {"small", "large"} and all(r["bins"] <= r["least_bins"] * 1.03 + 2 for r in rep.values())
 
 
+@pytest.mark.parametrize("shard_rows", [10_000, 150])
+def test_all_limits_hold(spark, shard_rows):
+    rng = random.Random(5)
+    items = [(k, rng.randrange(1, 30) if k % 3 else rng.randrange(60, 400), "x") for k in range(1500)]
+    got = whole(spark, items, [("a", 100), ("b", 1000), ("zero", 50)], shard_rows=shard_rows, fan_in=4, items_limit={"a": 4, "b": 20, "zero": 0}, cost_limit={"a": 5000, "b": 300_000})
+    assert {r["container_kind"] for r in got.select("container_kind").distinct().collect()} == {"a", "b"}
+    bins = got.groupBy("container_kind", "bin").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("k"), F.sum(F.col("n_tokens") ** 2).alias("c"))
+    for kind, cap, most, cost, piece in (("a", 100, 4, 5000, 70), ("b", 1000, 20, 300_000, 547)):
+        b = bins.where(F.col("container_kind") == kind)
+        assert b.where((F.col("n") > cap) | (F.col("k") > most) | (F.col("c") > cost)).isEmpty()
+        sizes = [min(piece, n - s) for _, n, _ in items for s in range(0, n, piece)]
+        bound = max(-(-sum(sizes) // cap), -(-len(sizes) // most), -(-sum(s * s for s in sizes) // cost))
+        assert bound <= b.count() <= bound * 1.15 + 2
+        g = got.where(F.col("container_kind") == kind)
+        assert {r["doc_id"]: r["n"] for r in g.groupBy("doc_id").agg(F.sum("n_tokens").alias("n")).collect()} == {k: n for k, n, _ in items}
+
+
+def test_very_long_items_make_shards_of_their_pieces(spark):
+    items = [(k, 5000, "x") for k in range(20)]
+    got = whole(spark, items, [("a", 10)], shard_rows=2000)
+    assert got.count() == 10_000 == got.select("bin").distinct().count()
+
+
 def test_edges(spark):
     assert whole(spark, [], [("a", 10)]).isEmpty()
     assert whole(spark, [(1, 5, "x")], []).isEmpty()
