@@ -307,7 +307,7 @@ def placed_blocks(blocks: DataFrame, chunk: int = 4096) -> DataFrame:
     The last known page before a block and the places on a page are carried over chunks of block_ids, so a file or a page
     of any size is spread over tasks. A null file is one file.
     """
-    b = blocks.withColumn("_c", F.floor(F.col("block_id") / chunk))
+    b = blocks.select("block_id", "file", "page").withColumn("_c", F.floor(F.col("block_id") / chunk))  # the texts are joined once, at the end
     spread = b.groupBy("file", "_c").agg(F.max_by("page", F.when(F.col("page").isNotNull(), F.col("block_id"))).alias("last"))
     carry = spread.select("file", "_c", F.last("last", ignorenulls=True).over(Window.partitionBy("file").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
     w = Window.partitionBy("file", "_c").orderBy("block_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -323,7 +323,8 @@ def placed_blocks(blocks: DataFrame, chunk: int = 4096) -> DataFrame:
     sizes = sizes.select(F.col("file").alias("_f"), F.col("page_key").alias("_p"), F.col("_c").alias("_d"), before.alias("_before"), F.sum("_n").over(page).alias("_all"))
     b = b.join(sizes, F.col("file").eqNullSafe(F.col("_f")) & (F.col("page_key") == F.col("_p")) & (F.col("_c") == F.col("_d")))
     top = F.col("_before") + F.col("_up")
-    return b.withColumns({"top": top.cast("int"), "bottom": (F.col("_all") - top + 1).cast("int")}).drop("_c", "_up", "_n", "_f", "_p", "_d", "_before", "_all")
+    places = b.select(F.col("block_id").alias("_id"), "page_key", top.cast("int").alias("top"), (F.col("_all") - top + 1).cast("int").alias("bottom"))
+    return blocks.join(places, F.col("block_id").eqNullSafe(F.col("_id"))).drop("_id")
 
 
 EDGE = "goes_on boolean, block_id long, file string, page int, page_key double, role string, block_type string, top int, bottom int, line_no int, place string, text string, key string, form string, number int"
