@@ -140,7 +140,11 @@ def _canonical_sql(x: str) -> str:
 def oracle_sql() -> dict[str, str]:
     """SQL for look-alikes; the others depend on trained models, a vocabulary or rules that SQL lacks, and tests/llm checks them."""
     s = f"WITH s AS (SELECT string_id, file_in, content, {_canonical_sql('content')} AS canonical FROM json_strings) "
+    known = "".join(chr(c) for c in lookalikes.prototypes())
     return {
+        "p5_report": s + f"""SELECT file_in, n AS strings_total, changed AS strings_changed, mapped AS chars_mapped, r AS reported_mapped FROM (
+            SELECT file_in, count(*) AS n, count(*) FILTER (canonical <> content) AS changed, CAST(sum(CASE WHEN regexp_full_match(content, '[\\x00-\\x7F]*') THEN 0 ELSE length(content) - length(translate(content, '{known}', '')) END) AS BIGINT) AS mapped
+            FROM s WHERE content IS NOT NULL GROUP BY file_in) LEFT JOIN (SELECT file_in, max(chars_mapped) AS r FROM clean_report GROUP BY file_in) USING (file_in)""",
         "p5_canonical": s + "SELECT string_id, canonical, coalesce(canonical <> content, false) AS changed FROM s",
         "p5_found": s + "SELECT DISTINCT a.string_id AS string_id_a, b.string_id AS string_id_b FROM s a JOIN s b ON a.file_in = b.file_in AND a.canonical = b.canonical AND a.content <> b.content AND a.string_id < b.string_id WHERE trim(a.canonical) <> ''",
     }
